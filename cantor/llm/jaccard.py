@@ -2,14 +2,16 @@
 
 1. A scan finds frequent shingles; they go to the end of the order that prefixes are taken in.
 2. A second scan gives each document its set's size, digest, prefix (two sets that link share a shingle of
-   their prefixes) and signature: a bitmap with a bit for the smallest shingle of each of BINS hash orders.
+   their prefixes) and two bitmaps: one of its shingles, hashed to BITS bits, and one with a bit for the
+   smallest shingle of each of BINS hash orders, which serves sets of any size.
    Documents with equal sets become one class, in an aggregation that combines before it shuffles.
 3. Classes are sorted by their smallest shingles and cut into leaves of LEAF neighbours. Classes that agree
    on two smallest shingles are checked in small salted blocks, which joins most copies into components.
 4. Each prefix shingle that two components share is a tree: leaves, and above them nodes that hold OR-combined
    bitmaps, size ranges and, if there is only one, the component. A dual traversal drops node pairs whose
-   sizes, bitmaps (their maximum possible overlap) or component rule out a new link. What survives is a
-   list of classes of two leaves, so a crowd of near copies is never written out as pairs.
+   sizes, bitmaps (their maximum possible overlap) or component rule out a new link; in a leaf pair, a
+   shingle bit that one set alone has is a shingle that the other lacks, which bounds the overlap. What
+   survives is a list of classes of two leaves, so a crowd of near copies is never written out as pairs.
 5. Surviving leaf pairs are checked exactly on the whole sets. Components of all links follow.
 
 A pair with Jaccard 0.85 fails the bitmap bound with probability under 1e-10 (at least half of 64 bins must
@@ -32,6 +34,10 @@ from cantor.llm.common import Scratch
 WORDS, PERCENT = 4, 85
 #: Classes of a leaf and of a block, bins of a signature, bins that must agree.
 LEAF, BLOCK, BINS, AGREE = 128, 96, 64, 32
+#: Bits of the bitmap of all shingles.
+BITS = 1024
+#: Groups up to this size are one leaf pair each, and many are looked at together.
+FLAT = 48
 #: Pairs of smallest shingles whose agreement brings classes into a block (step 3).
 HOMES = 3
 #: A shingle is frequent above FREQUENT prefixes, or more if over HOT_TOKENS shingles would be.
@@ -40,8 +46,8 @@ FREQUENT, HOT_TOKENS = 100, 1_000_000
 BROADCAST_IDS = 1_000_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _rng = np.random.default_rng(20240)
-_MULTIPLY = _rng.integers(1, 1 << 63, BINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, BINS, dtype=np.uint64)
+_MULTIPLY = _rng.integers(1, 1 << 31, BINS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _rng.integers(0, 1 << 32, BINS, dtype=np.uint32)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -70,15 +76,21 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 def minima(tokens: np.ndarray) -> np.ndarray:
     """The smallest shingle's hash in each of BINS orders."""
-    low = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(tokens), 4096):
-        low = np.minimum(low, (tokens[at : at + 4096, None] * _MULTIPLY + _ADD).min(axis=0))
+    low = np.full(BINS, np.iinfo(np.uint32).max, np.uint32)
+    short = (tokens >> np.uint64(7)).astype(np.uint32)
+    for at in range(0, len(short), 512):
+        x = short[at : at + 512, None] * _MULTIPLY + _ADD
+        x ^= x >> np.uint32(15)
+        low = np.minimum(low, (x * np.uint32(0x2C1B3C6D)).min(axis=0))
     return low
 
 
-def signature(low: np.ndarray) -> np.ndarray:
-    """A byte for each bin with one of eight bits set: bitmaps of nodes are these, OR-combined."""
-    return (np.uint8(1) << (_mixed(low) >> np.uint64(61)).astype(np.uint8)).astype(np.uint8)
+def signature(tokens: np.ndarray, low: np.ndarray) -> bytes:
+    """A byte for each bin with one of eight bits set, then the bitmap of all shingles; both OR-combine."""
+    bins = (np.uint8(1) << ((low * np.uint32(0x9E3779B1)) >> np.uint32(29)).astype(np.uint8)).astype(np.uint8)
+    bits = np.zeros(BITS, np.uint8)
+    bits[tokens & np.uint64(BITS - 1)] = 1
+    return bins.tobytes() + np.packbits(bits).tobytes()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -138,7 +150,7 @@ def describe(docs: DataFrame, hot, percent: int, words: int) -> DataFrame:
                 low = minima(u)
                 homes = [xxhash.xxh64_intdigest(low[2 * i : 2 * i + 2].tobytes()) for i in range(HOMES)]
                 digest = xxhash.xxh3_64_intdigest(u.tobytes())
-                rows.append((doc_id, len(u), digest, ordered_prefix(u, hot.value, percent).view(np.int64), signature(low).tobytes(), *homes))
+                rows.append((doc_id, len(u), digest, ordered_prefix(u, hot.value, percent).view(np.int64), signature(u, low), *homes))
             cols = list(zip(*rows, strict=True)) or [()] * (5 + HOMES)
             signed = lambda c: pa.array(np.asarray(c, np.uint64).view(np.int64))
             arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), signed(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.binary()), *map(signed, cols[5:])]
@@ -303,6 +315,23 @@ def _tree(cuts: list[int], size: np.ndarray, comp: np.ndarray, bits: np.ndarray)
     return level[0]
 
 
+def may_link(i: np.ndarray, j: np.ndarray, size: np.ndarray, comp: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (i, j) sizes, components and bitmaps leave possible."""
+    ok = (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (comp[i] != comp[j])
+    at = np.flatnonzero(ok)
+    for lo in range(0, len(at), 100_000):
+        part = at[lo : lo + 100_000]
+        a, b = bits[i[part]], bits[j[part]]
+        good = np.count_nonzero(a[:, :BINS] & b[:, :BINS], axis=1) >= AGREE
+        x, y = (np.ascontiguousarray(z[:, BINS:]).view(np.uint64) for z in (a, b))
+        n, m = size[i[part]], size[j[part]]
+        need = -(-percent * (n + m) // (100 + percent))
+        good &= n - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) >= need
+        good &= m - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64) >= need
+        ok[part] = good
+    return ok
+
+
 def traverse(size: np.ndarray, comp: np.ndarray, bits: np.ndarray, leaf: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Dual traversal of the signature tree over a group sorted by leaf: (rows, columns) that may link."""
     cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
@@ -312,7 +341,7 @@ def traverse(size: np.ndarray, comp: np.ndarray, bits: np.ndarray, leaf: np.ndar
         a, b = todo.pop()
         if 100 * a.large < percent * b.small or 100 * b.large < percent * a.small or (a.comp is not None and a.comp == b.comp):
             continue
-        if a is not b and np.count_nonzero(a.bits & b.bits) < AGREE:
+        if a is not b and np.count_nonzero(a.bits[:BINS] & b.bits[:BINS]) < AGREE:
             continue
         if a.parts or b.parts:
             if a is b:
@@ -323,35 +352,62 @@ def traverse(size: np.ndarray, comp: np.ndarray, bits: np.ndarray, leaf: np.ndar
             else:
                 todo += [(a, p) for p in b.parts]
             continue
-        rows, cols = np.arange(a.lo, a.hi), np.arange(b.lo, b.hi)
-        fit = (100 * size[rows][:, None] >= percent * size[cols][None, :]) & (100 * size[cols][None, :] >= percent * size[rows][:, None]) & (comp[rows][:, None] != comp[cols][None, :])
-        i, j = np.nonzero(np.triu(fit, 1) if a is b else fit)
-        if len(i):
-            good = np.count_nonzero(bits[rows[i]] & bits[cols[j]], axis=1) >= AGREE
-            if good.any():
-                yield np.unique(rows[i[good]]), np.unique(cols[j[good]])
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(a.lo, a.hi), np.arange(b.lo, b.hi), indexing="ij"))
+        if a is b:
+            i, j = i[i < j], j[i < j]
+        good = may_link(i, j, size, comp, bits, percent)
+        if good.any():
+            yield np.unique(i[good]), np.unique(j[good])
 
 
 def candidate_leaves(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Units (la, lb, a, b): classes of two leaves between which a link is possible, from every tree."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def units(columns: list[np.ndarray]) -> list[tuple]:
+        token, number, size, comp, leaf, bits = columns
+        out = []
+        edges = np.flatnonzero(np.diff(token)) + 1
+        starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(token)]])
+        for lo, hi in zip(starts[ends - starts > FLAT], ends[ends - starts > FLAT], strict=True):
+            for rows, cols in traverse(size[lo:hi], comp[lo:hi], bits[lo:hi], leaf[lo:hi], percent):
+                out.append((leaf[lo + rows[0]], leaf[lo + cols[0]], number[lo + rows], number[lo + cols]))
+        end = np.repeat(np.where(ends - starts > FLAT, starts, ends), ends - starts)
+        at = np.arange(len(token))
+        for step in range(1, FLAT):
+            i = at[at + step < end]
+            if not len(i):
+                break
+            good = may_link(i, i + step, size, comp, bits, percent)
+            out += [(leaf[k], leaf[k + step], number[k : k + 1], number[k + step : k + step + 1]) for k in i[good]]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        out: list[tuple] = []
+        held: list[list[np.ndarray]] = []
 
-        def batch_of() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["la", "lb", "a", "b"])
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["la", "lb", "a", "b"])
 
-        for group in _groups(batches):
-            number, size, comp, leaf = (group.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4))
-            bits = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint8).reshape(-1, BINS)
-            for rows, cols in traverse(size, comp, bits, leaf, percent):
-                out.append((leaf[rows[0]], leaf[cols[0]], number[rows], number[cols]))
-            if len(out) >= 2000:
-                yield batch_of()
-                out = []
-        if out:
-            yield batch_of()
+        def joined() -> list[np.ndarray]:
+            return [np.concatenate(c) for c in zip(*held, strict=True)]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            plain = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
+            columns = [*plain, np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(len(plain[0]), -1)]
+            token = plain[0]
+            first = int(np.searchsorted(token != token[0], True)) if token[-1] != token[0] else len(token)
+            if held and held[-1][0][-1] == token[0] and first == len(token):
+                held.append(columns)
+                continue
+            last = int(np.flatnonzero(token != token[-1])[-1]) + 1 if token[-1] != token[0] else 0
+            held.append([c[:last] for c in columns])
+            if rows := units(joined()) if sum(len(h[0]) for h in held) else []:
+                yield batch_of(rows)
+            held = [[c[last:] for c in columns]]
+        if held and (rows := units(joined())):
+            yield batch_of(rows)
 
     rows = shared.join(classes.select("class", "n", "comp", "leaf", "signature"), "class").select("token", "class", "n", "comp", "leaf", "signature")
     found = rows.repartition("token").sortWithinPartitions("token", "leaf", "class").mapInArrow(run, "la long, lb long, a array<long>, b array<long>")

@@ -364,7 +364,7 @@ def test_jaccard(docs, texts):
 @pytest.mark.parametrize("small", [True, False])
 def test_jaccard_crowds(spark, monkeypatch, small):
     if small:
-        for name, value in {"FREQUENT": 3, "BLOCK": 5, "BROADCAST_IDS": 0, "HOT_TOKENS": 50}.items():
+        for name, value in {"FREQUENT": 3, "BLOCK": 5, "BROADCAST_IDS": 0, "HOT_TOKENS": 50, "FLAT": 2, "LEAF": 8}.items():
             monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(5)
     base = [f"w{x}" for x in rng.integers(0, 500, 120)]
