@@ -13,14 +13,17 @@ in parallel. This is best-fit decreasing, exactly.
 
 from __future__ import annotations
 
+import array
 import bisect
 import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +31,10 @@ from cantor.llm.common import Scratch
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
-#: Most distinct white-space-free chunks whose ids a worker remembers.
-CACHE_CHUNKS = 300_000
+#: Distinct chunks without white space, and words of them, in a generation of what a worker remembers.
+CACHE_CHUNKS = 500_000
+#: Fixed value: how the tokenizer's file splits normalised text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Most runs that are broadcast (40 bytes each); beyond it they are joined by blocks of ranks.
 BROADCAST_RUNS = 1_000_000
 RANK_BLOCK = 1 << 16
@@ -40,6 +45,49 @@ _IN_PART = (1 << 33) - 1
 _tokenizers: dict[str, tuple] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+_WORDS = regex.compile(SPLIT)
+
+
+class _Ids(dict):
+    """Ids of chunks without white space and of their words, from the tokenizer's merges alone.
+
+    When it is full, what it held goes on as a second generation, from which what is still met comes back.
+    """
+
+    def __init__(self, model):
+        self.tokenize, self.older = model.tokenize, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CACHE_CHUNKS:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(chunk)
+        if ids is None:
+            lower = chunk.lower()
+            if not lower.isalpha():
+                body, last = lower[:-1], lower[-1:]
+                words = [body, last] if last in ",." and body.isalpha() else _WORDS.findall(lower)
+                ids = self._merged(lower) if words == [lower] else b"".join([self[w] for w in words])
+            elif lower != chunk:
+                ids = self[lower]
+            else:
+                ids = self._merged(lower)
+        self[chunk] = ids
+        return ids
+
+    def _merged(self, word: str) -> bytes:
+        letters = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+        return _packed_ids([t.id for t in self.tokenize(letters)])
+
+
 def _tokenizer(path: str):
     if path not in _tokenizers:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,37 +95,28 @@ def _tokenizer(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        _tokenizers[path] = (tokenizer, {})
+        _tokenizers[path] = (tokenizer, _Ids(tokenizer.model))
     return _tokenizers[path]
 
 
 def _packed_ids(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return array.array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
 
 def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit words.
 
-    The tokenizer drops white space, so a text's ids are those of its chunks in turn; chunks are encoded
-    once per worker. Texts with unusual characters are encoded as a whole.
+    The tokenizer drops white space and merges within words only, so a text's ids are those of its chunks in
+    turn, and a chunk's those of its words; a worker remembers both. Texts with unusual characters, whose
+    white space or normal form need the tokenizer's own rules, are encoded as a whole.
     """
-    tokenizer, known = _tokenizer(tokenizer_path)
-    if len(known) > CACHE_CHUNKS:
-        known.clear()
-    whole = [bool(_UNUSUAL.search(t)) for t in texts]
+    tokenizer, chunks = _tokenizer(tokenizer_path)
     out: list[bytes] = []
-    for text, odd in zip(texts, whole, strict=True):
-        if odd:
+    for text in texts:
+        if _UNUSUAL.search(text):
             out.append(_packed_ids(tokenizer.encode(text, add_special_tokens=False).ids))
-            continue
-        chunks = text.split()
-        try:
-            out.append(b"".join(map(known.__getitem__, chunks)))
-        except KeyError:
-            new = [c for c in dict.fromkeys(chunks) if c not in known]
-            for chunk, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[chunk] = _packed_ids(found.ids)
-            out.append(b"".join(map(known.__getitem__, chunks)))
+        else:
+            out.append(b"".join(map(chunks.__getitem__, text.split())))
     return out
 
 
