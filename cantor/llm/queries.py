@@ -112,9 +112,9 @@ OP2_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
      f AS (SELECT payload, min(page_id) AS first_id FROM p GROUP BY payload),
      h AS (SELECT p.page_id, octet_length(p.payload) AS n, sha1(p.payload) AS x, f.first_id FROM p JOIN f USING (payload)),
-     b AS (SELECT *, list_aggregate(list_transform(range(40), i -> CAST(instr('0123456789abcdef', substr(x, i + 1, 1)) - 1 AS INTEGER)::BIT::VARCHAR[29:32]), 'string_agg', '') AS bits FROM h)
+     b AS (SELECT *, CAST(CAST(unhex(x) AS BIT) AS VARCHAR) AS bits FROM h)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), k -> CAST(substr(bits, 5 * i + k + 1, 1) AS INTEGER) * (16 >> k))) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), lambda k: CAST(substr(bits, 5 * i + k + 1, 1) AS INTEGER) * (16 >> k))) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, TRUE AS digest_ok
 FROM b
