@@ -8,6 +8,7 @@ noisy-or, which tells which sentences offend although no sentence was labelled.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,74 +20,134 @@ from pyspark.sql import functions as F
 #: Bounds of the sample that the classifier is fitted on: documents, and words that it weighs.
 MAX_TRAIN_DOCS = 8000
 MAX_TRAIN_WORDS = 400
+#: Lengths of the word beginnings that are features.
+BEGINNINGS = (4, 5, 6, 7)
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 SCORED = "doc_id long, score double, n_sentences long, n_offending long, offending array<struct<start:long,end:long,p:double>>"
 
 
-def sentences(text: str) -> list[tuple[int, int, frozenset[str]]]:
+def sentences(text: str) -> list[tuple[int, int, set[str]]]:
     """(start, end, distinct lower-cased words) of each sentence that has words."""
     out = []
     for m in _SENTENCE.finditer(text):
-        if words := frozenset(_WORD.findall(m[0].lower())):
+        if words := set(_WORD.findall(m[0].lower())):
             out.append((m.start(), m.end(), words))
     return out
 
 
+def features(word: str) -> list[str]:
+    """The word itself, and its beginnings, by which inflected forms share what is learned."""
+    return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)]
+
+
+class _Memo(dict):
+    """Values by word, computed once; starts anew when full, so its memory is bounded."""
+
+    def __init__(self, f):
+        self.f = f
+
+    def __missing__(self, word: str):
+        if len(self) > 200_000:
+            self.clear()
+        value = self[word] = self.f(word)
+        return value
+
+
 class NoisyOr:
-    """weights by word, and the bias that every sentence has."""
+    """weights by feature, and the bias that every sentence has."""
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
+        self._words = _Memo(self._weigh)
+
+    def __reduce__(self):
+        return NoisyOr, (self.weights, self.bias)
+
+    def _weigh(self, word: str) -> float:
+        return sum(self.weights.get(f, 0.0) for f in features(word))
 
     def score(self, text: str) -> tuple[float, int, list[tuple[int, int, float]]]:
         """The document's probability, its sentences, and the spans of those at 0.5 or more."""
-        lower = text.lower()
-        if self.weights.keys().isdisjoint(_WORD.findall(lower)):
+        if not any(map(self._words.__getitem__, _WORD.findall(text.lower()))):
             n = sum(1 for m in _SENTENCE.finditer(text) if _WORD.search(m[0]))
             return float(-np.expm1(-n * np.log1p(np.exp(self.bias)))), n, []
         mass, spans, found = 0.0, [], sentences(text)
         for start, end, words in found:
-            z = self.bias + sum(self.weights[w] for w in words & self.weights.keys())
+            z = self.bias + sum(map(self._words.__getitem__, words))
             mass += float(np.logaddexp(0.0, z))
             if z >= 0:
                 spans.append((start, end, round(float(1 / (1 + np.exp(-z))), 6)))
         return float(-np.expm1(-mass)), len(found), spans
 
 
-def train(texts: list[str], labels: list[int], max_words: int = MAX_TRAIN_WORDS, steps: int = 300, rate: float = 0.2, decay: float = 2e-4) -> NoisyOr:
+def _surprise(a: np.ndarray, d: np.ndarray, share: float) -> np.ndarray:
+    """Log of the bound on how often chance gives a feature of d documents a toxic ones (Chernoff)."""
+    a, d = a.astype(float), d.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        value = a * np.log(a / d / share) + np.where(a < d, (d - a) * np.log((1 - a / d) / (1 - share)), 0.0)
+    return np.where((a > 2) & (a > d * share), value, 0.0)
+
+
+def choose_features(texts: list[str], y: np.ndarray, most: int) -> list[str]:
+    """Features that toxic documents have more often than chance explains.
+
+    Counts go to hashed buckets first, so that memory doesn't grow with the vocabulary; only features of
+    striking buckets are then counted by name. Of all features together, chance should pass a tenth of one.
+    """
+    size = 1 << 20
+    buckets = _Memo(lambda w: [zlib.crc32(f.encode()) % size for f in features(w)])
+    df, hits = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for text, label in zip(texts, y, strict=True):
+        own = np.unique(np.fromiter((b for w in set(_WORD.findall(text.lower())) for b in buckets[w]), np.int64))
+        df[own] += 1
+        hits[own] += int(label)
+    share = float(y.mean())
+    least = np.log(10 * max(1, int((df > 2).sum())))
+    striking = _surprise(hits, df, share) >= least
+    named, named_hits = Counter(), Counter()
+    for text, label in zip(texts, y, strict=True):
+        own = {f for w in set(_WORD.findall(text.lower())) if striking[buckets[w]].any() for f in features(w) if striking[zlib.crc32(f.encode()) % size]}
+        named.update(own)
+        if label:
+            named_hits.update(own)
+    names = sorted(named)
+    worth = _surprise(np.array([named_hits[f] for f in names]), np.array([named[f] for f in names]), share) if names else np.zeros(0)
+    chosen: dict[tuple, str] = {}
+    for _, f in sorted((-g, f) for g, f in zip(worth, names, strict=True) if g >= least):
+        # of a word and beginnings that stand in the same documents, one is enough: the longest
+        key = (named[f], named_hits[f], f.lstrip("^")[:4])
+        chosen[key] = max(chosen.get(key, ""), f, key=lambda x: len(x.lstrip("^")))
+    return list(chosen.values())[:most]
+
+
+def train(texts: list[str], labels: list[int], max_words: int = MAX_TRAIN_WORDS, steps: int = 300, rate: float = 0.2, decay: float = 2e-5) -> NoisyOr:
     """Fits the noisy-or to document labels (1 or 0); without both labels, nothing is toxic."""
     y = np.asarray(labels, dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return NoisyOr({}, -9.0)
-    bags = [[s[2] for s in sentences(t)] for t in texts]
-    df, hits = Counter(), Counter()
-    for bag, label in zip(bags, labels, strict=True):
-        words = frozenset().union(*bag)
-        df.update(words)
-        if label:
-            hits.update(words)
-    n, pos = len(y), y.sum()
-
-    def gain(word: str) -> float:
-        """Signed root of the chi-square statistic; words of one or two documents tell nothing."""
-        a, d = hits[word], df[word]
-        expected = d * pos / n
-        return (a - expected) / np.sqrt(expected * (1 - pos / n) * max(1 - d / n, 1e-9)) if d > 2 and a > 2 else 0.0
-
-    ranked = sorted(((gain(w), w) for w in df), key=lambda x: (-x[0], x[1]))[:max_words]
-    vocabulary = [w for g, w in ranked if g >= 3.0]
-    number = {w: i for i, w in enumerate(vocabulary)}
-    doc_of = np.repeat(np.arange(n), [len(b) for b in bags])
-    pairs = [(s, number[w]) for s, words in enumerate(w for b in bags for w in b) for w in words if w in number]
-    rows, cols = (np.asarray(x, dtype=np.int64) for x in (zip(*pairs, strict=True) if pairs else ((), ())))
+    vocabulary = choose_features(texts, y, max_words)
+    number = {f: i for i, f in enumerate(vocabulary)}
+    numbers = _Memo(lambda w: [number[f] for f in features(w) if f in number])
+    n, lengths, rows, cols = len(y), [], [], []
+    at = 0
+    for text in texts:
+        bag = sentences(text)
+        lengths.append(len(bag))
+        for _, _, words in bag:
+            for w in words:
+                for f in numbers[w]:
+                    rows.append(at)
+                    cols.append(f)
+            at += 1
+    rows, cols, doc_of = np.asarray(rows, np.int64), np.asarray(cols, np.int64), np.repeat(np.arange(n), lengths)
     w, b = np.zeros(len(vocabulary)), -5.0
     m = [np.zeros_like(w), 0.0]
     v = [np.zeros_like(w), 0.0]
     for step in range(1, steps + 1):
         z = b + np.bincount(rows, w[cols], len(doc_of))
         mass = np.bincount(doc_of, np.logaddexp(0, z), n)
-        lead = y / np.maximum(np.expm1(mass), 1e-6) - (1 - y)
+        lead = y / np.maximum(np.expm1(np.minimum(mass, 700)), 1e-6) - (1 - y)
         slope = lead[doc_of] / (1 + np.exp(-z))
         grad = [np.bincount(cols, slope[rows], len(w)) / n - decay * w, slope.sum() / n]
         for k, g in enumerate(grad):
@@ -97,7 +158,7 @@ def train(texts: list[str], labels: list[int], max_words: int = MAX_TRAIN_WORDS,
                 w = w + move
             else:
                 b = float(b + move)
-    return NoisyOr({word: float(x) for word, x in zip(vocabulary, w, strict=True) if abs(x) > 0.5}, b)
+    return NoisyOr({word: float(x) for word, x in zip(vocabulary, w, strict=True) if abs(x) > 0.1}, b)
 
 
 def train_on(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> NoisyOr:
