@@ -167,3 +167,15 @@ def alignment_problems(words: DataFrame) -> DataFrame:
 def normalize_alignment(raw: DataFrame) -> DataFrame:
     """Aligner output with scores as probabilities and words in aligner form."""
     return raw.withColumn("score", C.probability(F.col("score"))).withColumn("form", C.alignment_form(F.col("text")))
+
+
+def multiset_difference(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """Keys that ``a`` has more often than ``b``, with how many more."""
+    left = a.groupBy(*keys).agg(F.count("*").alias("_a"))
+    right = b.groupBy(*keys).agg(F.count("*").alias("_b"))
+    return left.join(right, list(keys), "left").withColumn("n", F.col("_a") - F.coalesce("_b", F.lit(0))).filter("n > 0").drop("_a", "_b")
+
+
+def foreign_pauses(pauses: DataFrame, gaps: DataFrame, key: str) -> DataFrame:
+    """Pauses that are no gap of the speech they claim to come from."""
+    return pauses.join(gaps, [key, "start", "end"], "left_anti")

@@ -117,3 +117,18 @@ def terminal_evidence(events: DataFrame) -> DataFrame:
     """Version of a terminal event's evidence, by its number of inputs."""
     n = F.size("input_sha256s")
     return events.filter("target_state in ('APPROVED', 'REJECTED')").withColumn("evidence", F.when(n == 8, "v2").when(n == 7, "v1").when(n == 5, "legacy").otherwise("INVALID"))
+
+
+def journal_prefix(lines: list[str], digest: str) -> int | None:
+    """How many lines of a journal have this SHA-256 together, in order; a running hash, so not an aggregate.
+
+    For one review journal (thousands of lines), read on the driver in order.
+    """
+    running = hashlib.sha256()
+    if running.hexdigest() == digest:
+        return 0
+    for n, line in enumerate(lines, 1):
+        running.update(line.encode() + b"\n")
+        if running.hexdigest() == digest:
+            return n
+    return None
