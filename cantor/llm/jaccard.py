@@ -432,18 +432,17 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     classes = classes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("leaf", F.shiftright(F.monotonically_increasing_id(), LEAF.bit_length() - 1))
     classes = scratch.save(classes, "classes")
 
-    blocks = None
-    for i in range(HOMES):
-        crowd = classes.groupBy(f"home{i}").agg(F.count("*").alias("m")).filter("m > 1")
-        salt = F.pmod(F.xxhash64("class", F.lit(i)), F.ceil(F.col("m") / BLOCK))
-        one = classes.join(crowd, f"home{i}").select(F.xxhash64(f"home{i}", salt, F.lit(i)).alias("unit"), "class", F.lit(3).alias("side"), F.col("class").alias("comp"), "rep")
-        blocks = one if blocks is None else blocks.union(one)
+    homes = classes.select("class", "rep", F.posexplode(F.array(*[f"home{i}" for i in range(HOMES)])).alias("i", "home"))
+    # written, so that the join deals both sides anew and a crowded home can be split
+    crowd = scratch.save(homes.groupBy("i", "home").agg(F.count("*").alias("m")).filter("m > 1"), "crowd")
+    salt = F.pmod(F.xxhash64("class", "i"), F.ceil(F.col("m") / BLOCK))
+    blocks = homes.join(crowd, ["i", "home"]).select(F.xxhash64("i", "home", salt).alias("unit"), "class", F.lit(3).alias("side"), F.col("class").alias("comp"), "rep")
     blocks = scratch.save(blocks, "blocks")
     near = class_sets(docs, blocks.select("class", "rep").distinct(), words, scratch, "near-sets")
     links = scratch.save(verify(blocks.drop("rep"), near, percent), "links0")
     first = components(links, scratch, "first")
     classes = scratch.save(classes.join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("comp", F.coalesce("comp", "class")), "joined")
-    scratch.drop("classes", "blocks", "near-sets")
+    scratch.drop("classes", "crowd", "blocks", "near-sets")
 
     tree = Window.partitionBy("token")
     postings = classes.select(F.explode("prefix").alias("token"), "class", "comp")

@@ -52,14 +52,16 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     """Columns of ``docs`` with ``text`` cleaned (and n_chars counted anew), n_lines, n_boilerplate and n_removed.
 
     A null text stays null, has no lines and loses none. Every row stays, repeated ones too; where more than
-    ``most_lost`` of the characters would go, the text is left whole. The text itself is shuffled only if the
-    texts that hold boilerplate are too many to broadcast, and then by its hash, unique on the other side.
+    ``most_lost`` of the characters would go, the text is left whole. The text is shuffled once, by its hash,
+    which is unique on the other side; crowds of copies are split by adaptive execution.
     """
     lines = document_lines(docs, site, min_chars)
     hit = lines.join(boilerplate_lines(lines, min_sites).select("hash"), "hash", "left_semi")
     flagged = hit.groupBy("key").agg(F.collect_set("pos").alias("_flagged")).withColumnRenamed("key", "_key")
+    # written, so that the join deals both sides anew and the copies of one text can be split
+    flagged = Scratch(docs.sparkSession, "linededup-flagged").save(flagged, "flagged")
     rows = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string"), F.length(F.col("text").cast("string"))))
-    rows = rows.join(flagged, "_key", "left")
+    rows = rows.join(flagged.hint("merge"), "_key", "left")  # the same plan at every size
     parts = F.split(F.col("text").cast("string"), "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_flagged"), i)), "\n")
     text = F.col("text").cast("string")
