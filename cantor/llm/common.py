@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Spaces of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\x0c\r"
+#: Rows that a Python worker gets at once while a table is written: whole texts and sets can be long.
+ARROW_KEY, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 _own: dict[str, str] = {}
 
 
@@ -43,7 +45,12 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        old = self.spark.conf.get(ARROW_KEY)
+        self.spark.conf.set(ARROW_KEY, str(min(ARROW_ROWS, int(old)) if int(old) > 0 else ARROW_ROWS))
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(ARROW_KEY, old)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
