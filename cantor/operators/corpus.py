@@ -104,9 +104,11 @@ def token_ranges(units: DataFrame, key: str, order: str, text: str = "text") ->
 
 
 def unit_tokens(units: DataFrame, docs: DataFrame, key: str) -> DataFrame:
-    """The tokens of each unit's range."""
-    t = tokens(docs, key)
-    return t.join(units, [t[key] == units[key], t["token_index"] >= units["token_start"], t["token_index"] < units["token_end"]]).drop(units[key])
+    """The tokens of each unit's range. Ranges don't overlap and are spelled out by number, so this is an
+    equi-join whose size is that of the tokens, however many units a document has."""
+    at = F.explode(F.sequence("token_start", F.col("token_end") - 1)).alias("token_index")
+    wanted = units.filter("token_end > token_start").select("*", at)
+    return tokens(docs, key).join(wanted, [key, "token_index"])
 
 
 def resolution_problems(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
@@ -151,8 +153,11 @@ def materialize(wanted: DataFrame, stored: DataFrame, build, key: str = "cache_k
 
 
 def alignment_problems(words: DataFrame) -> DataFrame:
-    """Checks of aligned words (cache_key, spoken_token_index, token, text, start_seconds, end_seconds, score, duration)."""
-    w = Window.partitionBy("cache_key").orderBy("spoken_token_index")
+    """Checks of aligned words (cache_key, spoken_token_index, token, text, start_seconds, end_seconds, score, duration).
+
+    Words that claim one index come in the order of their other fields, so the result is the same on every run.
+    """
+    w = Window.partitionBy("cache_key").orderBy("spoken_token_index", "start_seconds", "end_seconds", "token", "text", "score")
     rows = words.withColumn("_n", F.row_number().over(w) - 1).withColumn("_end", F.lag("end_seconds").over(w))
     problem = (
         F.when(F.col("spoken_token_index") != F.col("_n"), "TOKEN_ORDER")

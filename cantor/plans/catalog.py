@@ -282,9 +282,12 @@ def repeated_texts(spark, sf_dir):
     return corpus.duplicates(rows, "text_key")
 
 
-@query("WITH u AS (SELECT doc_id, trim(x) AS t, p FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents WHERE NOT contains(text, chr(13)))) SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS ordinal, sha256(t) AS text_sha FROM u WHERE t <> ''")
+@query(r"""
+WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS ls FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, trim(unnest(ls), ' ' || chr(9) || chr(11) || chr(12)) AS t, generate_subscripts(ls, 1) AS p FROM l)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS ordinal, sha256(t) AS text_sha FROM u WHERE t <> ''""")
 def document_units(spark, sf_dir):
-    units = corpus.spoken_units(table(spark, sf_dir, "documents").filter(~F.contains("text", F.lit("\r"))), "doc_id")
+    units = corpus.spoken_units(table(spark, sf_dir, "documents"), "doc_id")
     return units.select("doc_id", long(F.col("ordinal")).alias("ordinal"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha"))
 
 
@@ -296,7 +299,14 @@ def turn_differences(spark, sf_dir):
     return pairs.select("conv_id", long(F.size(C.word_differences("a", "b"))).alias("n_differences"))
 
 
-@query()
+@query("""
+WITH e AS (SELECT l_orderkey, CAST(l_linenumber * 12 AS BIGINT) AS split, least(l_quantity / 50, 1 - l_discount) AS score, 1 - l_tax AS cover, l_returnflag <> 'R' AS ok FROM lineitem),
+n AS (SELECT DISTINCT l_orderkey FROM e),
+r AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS ns, lead(cover) OVER w AS nc FROM e WHERE ok WINDOW w AS (PARTITION BY l_orderkey ORDER BY score DESC, cover DESC, split)),
+x AS (SELECT o_orderkey AS l_orderkey, r.split, r.score, CASE WHEN n.l_orderkey IS NULL THEN 'TAKE_COUNT_MISMATCH' WHEN r.split IS NULL THEN 'TAKE_TEXT_MISMATCH'
+    WHEN ns IS NOT NULL AND ((score = ns AND cover = nc) OR score - ns < 0.02) THEN 'TAKE_COUNT_MISMATCH' WHEN NOT r.split / (100 - r.split) BETWEEN 0.65 AND 1.35 THEN 'TAKE_DURATION_MISMATCH' ELSE 'selected' END AS outcome
+  FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey LEFT JOIN r ON r.l_orderkey = o_orderkey AND r.n = 1)
+SELECT l_orderkey, outcome, CASE WHEN outcome = 'selected' THEN split END AS split, round(score, 6) AS score FROM x""")
 def choose_turn_split(spark, sf_dir):
     """Each order's lines as candidate splits of its window of 100 units."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 12).cast("long").alias("split"), (F.col("l_quantity") / 50).alias("first_score"), (1 - F.col("l_discount")).alias("second_score"), (F.col("l_returnflag") != "R").alias("word_order_same"), (1 - F.col("l_tax")).alias("coverage"))
