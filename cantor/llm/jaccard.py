@@ -14,13 +14,15 @@
    survives is a list of classes of two leaves, so a crowd of near copies is never written out as pairs.
 5. Surviving leaf pairs are checked exactly on the whole sets. Components of all links follow.
 
-A pair with Jaccard 0.85 fails the bitmap bound with probability under 1e-10 (at least half of 64 bins must
-agree, 0.87 do on average); everything else is exact but for collisions of 64-bit hashes.
+A pair at the threshold fails the bitmap bound with probability under MISS (at 0.85, 32 of 64 bins must agree,
+0.87 do on average; at 0.80, 28); everything else is exact but for collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 from cantor.llm.common import Scratch
 
 WORDS, PERCENT = 4, 85
-#: Classes of a leaf and of a block, bins of a signature, bins that must agree.
-LEAF, BLOCK, BINS, AGREE = 128, 96, 64, 32
+#: Classes of a leaf and of a block, bins of a signature.
+LEAF, BLOCK, BINS = 128, 96, 64
+#: Most probability with which the bins may rule out a pair at the threshold.
+MISS = 1e-12
 #: Bits of the bitmap of all shingles.
 BITS = 1024
 #: Groups up to this size are one leaf pair each, and many are looked at together.
@@ -74,6 +78,22 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1 if n else 0
 
 
+@lru_cache
+def agreeing_bins(percent: int) -> int:
+    """Bins that must agree: as many as a pair at the threshold has but with a probability under MISS.
+
+    A bin agrees if its minimum is shared, or else by one of eight bits.
+    """
+    q = percent / 100 + (1 - percent / 100) / 8
+    fewer, least = 0.0, 0
+    while least < BINS:
+        fewer += math.comb(BINS, least) * q**least * (1 - q) ** (BINS - least)
+        if fewer >= MISS:
+            break
+        least += 1
+    return least
+
+
 def minima(tokens: np.ndarray) -> np.ndarray:
     """The smallest shingle's hash in each of BINS orders."""
     low = np.full(BINS, np.iinfo(np.uint32).max, np.uint32)
@@ -322,7 +342,7 @@ def may_link(i: np.ndarray, j: np.ndarray, size: np.ndarray, comp: np.ndarray, b
     for lo in range(0, len(at), 100_000):
         part = at[lo : lo + 100_000]
         a, b = bits[i[part]], bits[j[part]]
-        good = np.count_nonzero(a[:, :BINS] & b[:, :BINS], axis=1) >= AGREE
+        good = np.count_nonzero(a[:, :BINS] & b[:, :BINS], axis=1) >= agreeing_bins(percent)
         x, y = (np.ascontiguousarray(z[:, BINS:]).view(np.uint64) for z in (a, b))
         n, m = size[i[part]], size[j[part]]
         need = -(-percent * (n + m) // (100 + percent))
@@ -341,7 +361,7 @@ def traverse(size: np.ndarray, comp: np.ndarray, bits: np.ndarray, leaf: np.ndar
         a, b = todo.pop()
         if 100 * a.large < percent * b.small or 100 * b.large < percent * a.small or (a.comp is not None and a.comp == b.comp):
             continue
-        if a is not b and np.count_nonzero(a.bits[:BINS] & b.bits[:BINS]) < AGREE:
+        if a is not b and np.count_nonzero(a.bits[:BINS] & b.bits[:BINS]) < agreeing_bins(percent):
             continue
         if a.parts or b.parts:
             if a is b:

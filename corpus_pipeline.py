@@ -10,6 +10,9 @@ from cantor.llm import jaccard, linededup, mixing, packing, quality
 from cantor.llm.common import Scratch
 from cantor.llm.queries import MAX_TOKENS, tokenizer_path
 
+#: Near copies of the pipeline: word n-grams of this length, and this Jaccard similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,7 +28,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return jaccard.keep_one_of_each(docs)
+    return jaccard.keep_one_of_each(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

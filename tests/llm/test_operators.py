@@ -403,3 +403,50 @@ def test_pipeline_stages(spark, sf_dir):
         assert after.columns == names and 0 < after.count() <= docs.count()
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").distinct().count() == docs.count()
+
+
+def _linked(texts, words, percent):
+    """Pairs of doc ids whose sets of word n-grams link, by brute force."""
+    sets = {}
+    for d, x in texts:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
+        sets[d] = frozenset(tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))) if w else frozenset()
+    ids = sorted(d for d in sets if d is not None)
+    both = ((a, b, len(sets[a] & sets[b])) for i, a in enumerate(ids) for b in ids[i + 1 :])
+    return {(a, b) for a, b, n in both if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)}
+
+
+def _firsts(ids, links):
+    """The smallest id of each component."""
+    up = {d: d for d in ids}
+    for _ in ids:
+        before = dict(up)
+        for a, b in links:
+            up[a] = up[b] = min(up[a], up[b])
+        if up == before:
+            break
+    return {d for d in ids if up[d] == d}
+
+
+def test_pipeline_near_copies_at_five_words(spark, docs, texts, sf_dir):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    close = []
+    for i in range(40):
+        words = [f"v{x}" for x in rng.integers(0, 10**6, 150)]
+        other = list(words)
+        for at in np.linspace(9, 140, 1 + i % 5).astype(int):  # 1 to 5 words differ: 0.94 to 0.71 at five words
+            other[at] = "changed"
+        close += [(20_000 + 2 * i, " ".join(words)), (20_001 + 2 * i, " ".join(other))]
+    rows = texts + close
+    links = _linked(rows, 5, 80)
+    assert links - _linked(rows, 4, 85)
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(close, "doc_id long, text string"))
+    kept = [r.doc_id for r in corpus_pipeline.ngram_jaccard(spark, more, sf_dir).collect()]
+    assert {d for d in kept if d is not None} == _firsts({d for d, _ in rows if d is not None}, links)
+
+
+def test_agreeing_bins():
+    assert jaccard.agreeing_bins(85) == 32 and jaccard.agreeing_bins(80) == 28
+    assert [jaccard.agreeing_bins(p) for p in range(50, 101)] == sorted(jaccard.agreeing_bins(p) for p in range(50, 101))
