@@ -16,6 +16,9 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Target share of a value: its share of tokens to this power, scaled to a sum of 1.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 NONE = "\x00none"
+#: Tokens that the weights are laid out for, as a share of the corpus's tokens: more of them keep more
+#: documents, and leave more cells too small for their share.
+BUDGET = 0.8
 #: Cells up to which the raking stays in one task, without exchanges.
 ONE_TASK_CELLS = 100_000
 ROUNDS, BATCH, TOLERANCE = 60, 6, 1e-6
@@ -78,11 +81,13 @@ def rake(cells: DataFrame, temper: dict[str, float] | None = None, targets: dict
     return cells.drop(*[f"_goal_{d}" for d in DIMENSIONS])
 
 
-def mix(docs: DataFrame, seed: int = 11, temper: dict[str, float] | None = None, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 11, temper: dict[str, float] | None = None, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
     """Columns of ``docs`` with topic (kept if there is one), n_tokens, probability and kept.
 
-    probability: the cell's raked weight over its tokens, scaled so that the highest is 1; the kept tokens
-    then meet the targets in expectation. kept compares it with a hash of doc_id and seed, so it is the same
+    probability: the cell's share of ``budget`` times the corpus's tokens, by its raked weight, over its own
+    tokens, and 1 at most. A cell with more tokens than its share is brought down to it in expectation, one
+    with fewer is kept whole and falls short of its share; no document is repeated. A rare cell changes the
+    rates of others by its share of the weights only. kept compares it with a hash of doc_id and seed, so it is the same
     on every run and for repeated rows. Null sources, languages and topics are values of their own. Documents
     without tokens are in cells like any other; a cell that has no tokens at all keeps nothing.
     """
@@ -92,8 +97,8 @@ def mix(docs: DataFrame, seed: int = 11, temper: dict[str, float] | None = None,
     keys = {d: F.coalesce(F.col(d).cast("string"), F.lit(NONE)) for d in DIMENSIONS}
     cells = rows.select(*[k.alias(d) for d, k in keys.items()], "n_tokens").groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     raked = rake(cells, temper, targets).withColumn("_ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
-    most = raked.agg(F.max("_ratio")).first()[0] or 1.0
-    odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], (F.col("_ratio") / F.lit(float(most))).alias("probability"))
+    tokens = raked.agg(F.sum("tokens")).first()[0] or 0
+    odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.least(F.lit(1.0), F.col("_ratio") * F.lit(float(budget * tokens))).alias("probability"))
     for d in DIMENSIONS:
         rows = rows.withColumn(f"_{d}", keys[d])
     rows = rows.join(odds, [f"_{d}" for d in DIMENSIONS], "left").drop(*[f"_{d}" for d in DIMENSIONS])

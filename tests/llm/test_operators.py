@@ -450,3 +450,24 @@ def test_pipeline_near_copies_at_five_words(spark, docs, texts, sf_dir):
 def test_agreeing_bins():
     assert jaccard.agreeing_bins(85) == 32 and jaccard.agreeing_bins(80) == 28
     assert [jaccard.agreeing_bins(p) for p in range(50, 101)] == sorted(jaccard.agreeing_bins(p) for p in range(50, 101))
+
+
+def test_mixing_keeps_its_share_beside_rare_cells(spark):
+    """A rare source must not set how much of the corpus is kept; rates follow the weights at the budget."""
+    rows = [(i, "w " * (20 + i % 7) + ("= " if i % 3 else ""), f"s{int(i**0.5) // 9}", "en" if i % 5 else "la") for i in range(2000)]
+    odd = [(5000, "five words stand right here", "lone", "en"), (5001, "five words stand right here", None, None)]
+    schema, share = "doc_id long, text string, source string, lang string", []
+    for extra in ([], odd):
+        mixed = mixing.mix(spark.createDataFrame(rows + extra, schema)).collect()
+        total = sum(r.n_tokens for r in mixed)
+        share.append(sum(r.n_tokens * r.probability for r in mixed) / total)
+        cells = collections.Counter()
+        for r in mixed:
+            cells[(r.source, r.lang, r.topic)] += r.n_tokens
+        keyed = [tuple(mixing.NONE if x is None else x for x in c) + (n,) for c, n in cells.items()]
+        raked = {tuple(r[:3]): r.weight for r in mixing.rake(spark.createDataFrame(keyed, "source string, lang string, topic string, tokens long")).collect()}
+        for r in mixed:
+            c = (r.source, r.lang, r.topic)
+            want = min(1.0, raked[tuple(mixing.NONE if x is None else x for x in c)] * mixing.BUDGET * total / cells[c])
+            assert abs(r.probability - want) < 1e-6
+    assert share[0] > 0.7 and abs(share[0] - share[1]) < 0.01
