@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cantor.llm import jaccard
 from cantor.llm.common import Scratch
 
 SPACE_CHARS = " \t\x0b\x0c\r"
@@ -19,7 +20,7 @@ MIN_CHARS = 20
 MIN_SITES = 4
 #: 2**LG_K buckets: a relative standard error of about 1.04 / 2**(LG_K / 2).
 LG_K = 10
-#: A document that would lose more than this share of its characters is a copy, not a page with boilerplate.
+#: A document that would lose more than this share of its characters may be a copy, not a page with boilerplate.
 MOST_LOST = 0.5
 
 
@@ -48,11 +49,28 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int =
     return scratch.save(exact.filter(F.col("n_sites") >= min_sites).union(sure), "boilerplate")
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, most_lost: float = MOST_LOST) -> DataFrame:
+def copied_texts(texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """(key) of the texts (key, doc_id, text) that two documents have, or that are near copies of another one.
+
+    Rows of one doc_id are one document; each row without one is a document.
+    """
+    scratch = Scratch(texts.sparkSession, "linededup-copies")
+    unnamed = F.sum(F.col("doc_id").isNull().cast("long"))
+    several = (F.min("doc_id") != F.max("doc_id")) | (unnamed + F.max("doc_id").isNotNull().cast("long") > 1)
+    groups = scratch.save(texts.groupBy("key").agg(F.first("text").alias("text"), F.coalesce(several, unnamed > 1).alias("several")), "texts")
+    joined = scratch.save(jaccard.ngram_jaccard_join(groups.select(F.col("key").alias("doc_id"), "text"), percent, words), "joined")
+    crowds = joined.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")
+    near = joined.join(crowds, "component_id", "left_semi").select(F.col("doc_id").alias("key"))
+    return scratch.save(groups.filter("several").select("key").union(near).distinct(), "copies")
+
+
+def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, most_lost: float = MOST_LOST, near: tuple[int, int] | None = None) -> DataFrame:
     """Columns of ``docs`` with ``text`` cleaned (and n_chars counted anew), n_lines, n_boilerplate and n_removed.
 
     A null text stays null, has no lines and loses none. Every row stays, repeated ones too; where more than
-    ``most_lost`` of the characters would go, the text is left whole. The text is shuffled once, by its hash,
+    ``most_lost`` of the characters would go, the text is left whole. With ``near`` (percent, words of a
+    near copy) only where, besides, another document that would lose as much has the same text or a near copy
+    of it: a text on many sites would go from all of them, while a page with much boilerplate loses it. The text is shuffled once, by its hash,
     which is unique on the other side; crowds of copies are split by adaptive execution.
     """
     lines = document_lines(docs, site, min_chars)
@@ -60,13 +78,20 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     flagged = hit.groupBy("key").agg(F.collect_set("pos").alias("_flagged")).withColumnRenamed("key", "_key")
     # written, so that the join deals both sides anew and the copies of one text can be split
     flagged = Scratch(docs.sparkSession, "linededup-flagged").save(flagged, "flagged")
-    rows = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string"), F.length(F.col("text").cast("string"))))
-    rows = rows.join(flagged.hint("merge"), "_key", "left")  # the same plan at every size
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string"), F.length(F.col("text").cast("string"))))
     parts = F.split(F.col("text").cast("string"), "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_flagged"), i)), "\n")
     text = F.col("text").cast("string")
-    rows = rows.withColumn("_clean", F.when(F.col("_flagged").isNull(), text).otherwise(kept))
+    clean = F.when(F.col("_flagged").isNull(), text).otherwise(kept)
     whole = F.coalesce(F.length("_clean") < (1 - most_lost) * F.length(text), F.lit(False))
+    if near is not None:
+        bare = keyed.select("_key", F.col("doc_id").cast("long"), text.alias("text")).join(flagged.hint("merge"), "_key").withColumn("_clean", clean)
+        scratch = Scratch(docs.sparkSession, "linededup-whole")
+        losing = scratch.save(bare.filter(whole).select(F.col("_key").alias("key"), "doc_id", "text"), "losing")
+        copies = copied_texts(losing, *near).select(F.col("key").alias("_key"), F.lit(True).alias("_copy"))
+        flagged = scratch.save(flagged.join(copies, "_key", "left"), "flagged")
+        whole = whole & F.coalesce("_copy", F.lit(False))
+    rows = keyed.join(flagged.hint("merge"), "_key", "left").withColumn("_clean", clean)  # the same plan at every size
     n_hit = F.when(F.col("_flagged").isNull(), 0).otherwise(F.size("_flagged")).cast("long")
     out = {c: F.col(f"`{c}`") for c in docs.columns}
     out["text"] = F.when(whole, text).otherwise(F.col("_clean"))

@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sites go."""
-    return linededup.remove_boilerplate(docs).select(docs.columns)
+    """Lines on many sites go; texts that are copies of each other on many sites are left to the next stage."""
+    return linededup.remove_boilerplate(docs, near=(NEAR_PERCENT, NEAR_WORDS)).select(docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

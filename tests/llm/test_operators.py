@@ -471,3 +471,20 @@ def test_mixing_keeps_its_share_beside_rare_cells(spark):
             want = min(1.0, raked[tuple(mixing.NONE if x is None else x for x in c)] * mixing.BUDGET * total / cells[c])
             assert abs(r.probability - want) < 1e-6
     assert share[0] > 0.7 and abs(share[0] - share[1]) < 0.01
+
+
+def test_pipeline_line_dedup_leaves_only_copies_whole(spark, sf_dir):
+    import corpus_pipeline
+
+    footer = "\n".join(f"shared footer line number {i} of every site" for i in range(6))
+    article = "\n".join(f"article sentence {i} with words {i * 7} and {i * 11} in it" for i in range(8))
+    own = [f"own page {i} " + " ".join(f"o{i}x{k}" for k in range(18)) for i in range(5)]
+    lone = "alone " + " ".join(f"a{k}" for k in range(18))
+    rows = [(i, f"{own[i]}\n{footer}", f"s{i}") for i in range(5)]  # thin pages: over half would go
+    rows += [(10 + i, article + (f"\nread on site {i}" if i % 2 else ""), f"s{i}") for i in range(5)]  # copies and near copies
+    rows += [(20, footer, "s9"), (21, f"{footer}\n{footer}\n{lone}", "s9"), (22, None, "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, sf_dir).collect()}
+    assert [got[i] for i in range(5)] == own
+    assert [got[10 + i] for i in range(5)] == [r[1] for r in rows[5:10]]
+    assert got[22] is None and got[20] == "" and got[21] == lone
