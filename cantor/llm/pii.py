@@ -21,10 +21,11 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: A key, a separator and a value; seed values besides base entities; what an identifier looks like.
-KEYED = r"(?<![A-Za-z_-])[A-Za-z][A-Za-z_-]{1,30}[ \t]*[=:#][ \t]*[\"']?[A-Za-z0-9@._+-]{3,127}[A-Za-z0-9]"
+#: A key, a separator and a value of any length, to its last letter or digit; seed values besides base entities; what an identifier looks like.
+_KEY = r"[A-Za-z][A-Za-z_-]++[ \t]*+[=:#]"
+KEYED = rf"(?<![A-Za-z_-]){_KEY}[ \t]*+[\"']?[A-Za-z0-9@._+-]{{3,}}[A-Za-z0-9]"
 SEED = r"^[0-9a-f]{32,64}$"
-IDENTIFIER = r"^(?=.*[0-9])[A-Za-z0-9@._+-]{6,128}$"
+IDENTIFIER = r"^(?=.*[0-9])[A-Za-z0-9@._+-]{6,}$"
 KIND = "ident"
 ROUNDS, MIN_CONFIDENCE, MIN_SUPPORT = 3, 0.5, 3
 _SPAN = "array<struct<start:long,end:long,hit:string>>"
@@ -80,11 +81,9 @@ def _named(kind: str, spans: Column) -> Column:
 
 def keyed_values(text: Column) -> Column:
     """(pattern, value, start, end) of each keyed value."""
-    value = r"[A-Za-z0-9@._+-]{3,127}[A-Za-z0-9]$"
-
     def one(s: Column) -> Column:
-        found = F.regexp_extract(s["hit"], value, 0)
-        key = F.regexp_replace(F.regexp_extract(F.lower(s["hit"]), r"^([a-z][a-z_-]{1,30}[ \t]*[=:#])", 1), r"[ \t]", "")
+        found = F.regexp_replace(s["hit"], rf"^{_KEY}[ \t]*+[\"']?", "")
+        key = F.regexp_replace(F.lower(F.regexp_extract(s["hit"], rf"^{_KEY}", 0)), r"[ \t]", "")
         return F.struct(key.alias("pattern"), found.alias("value"), (s["end"] - F.length(found)).alias("start"), s["end"].alias("end"))
 
     spans = F.transform(_spans(text, KEYED), one)

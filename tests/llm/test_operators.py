@@ -488,3 +488,11 @@ def test_pipeline_line_dedup_leaves_only_copies_whole(spark, sf_dir):
     assert [got[i] for i in range(5)] == own
     assert [got[10 + i] for i in range(5)] == [r[1] for r in rows[5:10]]
     assert got[22] is None and got[20] == "" and got[21] == lone
+
+
+def test_pii_long_values_and_keys(spark):
+    long, name = "aB3." * 150 + "Z9", "session_key_of_" + "very_" * 8 + "long_name"
+    rows = [(i, f'x token = "{i:032x}" y {name}: {i:040x}') for i in range(5)]
+    rows += [(9, f'here token = "{long}..." and'), (10, f"now {name}: QX-99-1234-ZZ."), (11, f"token = {'k' * 50_000} {'k' * 50_000} = 1{'.' * 50_000}")]
+    got = {r.doc_id: r.spans for r in pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[9] == f"ident:14:{14 + len(long)}" and got[10] == f"ident:{6 + len(name)}:{19 + len(name)}" and got[11] == ""
