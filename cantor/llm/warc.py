@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from cantor.llm.common import Scratch, open_uri
 
 MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
-#: Longest header that a reader looks for.
+#: Bytes that a reader adds at first to find the end of a range's last header; it doubles them until it does.
 HEADER_BYTES = 1 << 16
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, path string, record_offset long, digest_ok boolean"
 
@@ -70,14 +71,24 @@ def _header(block: bytes) -> dict[bytes, bytes]:
     return fields
 
 
-def _candidates(data: bytes, base: int, end: int) -> list[tuple[int, int]]:
-    """(offset, successor) of each likely record header that starts before ``end``."""
+def _candidates(data: bytes, base: int, end: int, more: Callable[[], bytes]) -> list[tuple[int, int]]:
+    """(offset, successor) of each likely record header that starts before ``end``.
+
+    A record starts its file or follows the end of another one, so no two headers overlap. ``data`` begins at
+    ``base``, up to four bytes before the range; ``more`` returns what comes after it, at the end nothing.
+    """
+    edge = END.encode()
     found, at = [], data.find(MAGIC)
     while at != -1 and base + at < end:
-        stop = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-        size = _header(data[at:stop]).get(b"content-length", b"") if stop != -1 else b""
-        if size.isdigit():
-            found.append((base + at, base + stop + 4 + int(size) + 4))
+        if base + at == 0 or data[max(at - 4, 0) : at] == edge:
+            stop = data.find(edge, at)
+            while stop == -1 and (further := more()):
+                seen = len(data)
+                data += further
+                stop = data.find(edge, max(at, seen - 3))
+            size = _header(data[at:stop]).get(b"content-length", b"") if stop != -1 else b""
+            if size.isdigit():
+                found.append((base + at, base + stop + 4 + int(size) + 4))
         at = data.find(MAGIC, at + 1)
     return found
 
@@ -90,11 +101,13 @@ def scan_candidates(ranges: DataFrame) -> DataFrame:
             for path, chunk, lo, hi in frame[["path", "chunk", "lo", "hi"]].itertuples(index=False):
                 fs, name = open_uri(path)
                 with fs.open_input_file(name) as f:
-                    f.seek(lo)
-                    data = f.read(hi - lo + HEADER_BYTES)
+                    base, step = max(lo - 4, 0), itertools.count()
+                    f.seek(base)
+                    data = f.read(hi - base + HEADER_BYTES)
+                    found = _candidates(data, base, hi, lambda f=f, step=step: f.read(HEADER_BYTES << min(next(step), 8)))
                 exits: dict[int, int] = {}
                 rows = []
-                for offset, succ in reversed(_candidates(data, lo, hi)):
+                for offset, succ in reversed(found):
                     exits[offset] = succ if succ >= hi else exits.get(succ, -1)
                     rows.append((path, chunk, offset, succ, exits[offset]))
                 yield pd.DataFrame(rows, columns=["path", "chunk", "offset", "succ", "exit"])
@@ -103,7 +116,7 @@ def scan_candidates(ranges: DataFrame) -> DataFrame:
 
 
 def reachable_entries(candidates: DataFrame, scratch: Scratch) -> DataFrame:
-    """(path, entry, chunk): where the chain from each file's start enters each range, by pointer jumping."""
+    """(path, chunk, entry, exit): where the chain from each file's start enters and leaves each range, by pointer jumping."""
     landing = candidates.select("path", F.col("exit").alias("offset")).union(candidates.select("path", F.lit(0).cast("long").alias("offset"))).distinct()
     nodes = scratch.save(candidates.join(landing, ["path", "offset"], "left_semi").select("path", "chunk", "offset", "exit"), "nodes")
     most = nodes.agg(F.max("chunk")).first()[0] or 0
@@ -116,7 +129,7 @@ def reachable_entries(candidates: DataFrame, scratch: Scratch) -> DataFrame:
         after = jump.select("path", F.col("offset").alias("next"), F.col("next").alias("after"))
         jump = scratch.save(jump.join(after, ["path", "next"]).select("path", "offset", F.col("after").alias("next")), f"jump{turn}")
         hops, turn = 2 * hops, turn + 1
-    return nodes.join(reached, ["path", "offset"], "left_semi").select("path", "chunk", F.col("offset").alias("entry"))
+    return nodes.join(reached, ["path", "offset"], "left_semi").select("path", "chunk", F.col("offset").alias("entry"), "exit")
 
 
 def _page(value: bytes) -> int | None:
@@ -149,12 +162,16 @@ def _read_range(group: pd.DataFrame) -> pd.DataFrame:
 def read_warc(spark, path: str, range_bytes: int = 16 << 20) -> DataFrame:
     """The records of the WARC files under ``path`` (columns of RECORDS); payload digests are recomputed.
 
-    Files without a record give no row; a broken chain ends the file's records where it breaks.
+    Empty files give no row; a chain of records that doesn't end at its file's length is an error.
     """
     scratch = Scratch(spark, "warc-read")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").filter("length > 0")
     ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {range_bytes}"))).alias("chunk"))
     ranges = ranges.select("path", "chunk", (F.col("chunk") * range_bytes).alias("lo"), F.least("length", (F.col("chunk") + 1) * range_bytes).alias("hi"))
     candidates = scratch.save(scan_candidates(ranges.repartition(F.col("path"), F.col("chunk"))), "candidates")
-    entries = reachable_entries(candidates, scratch)
+    entries = scratch.save(reachable_entries(candidates, scratch), "entries")
+    ended = entries.select("path", F.col("exit").alias("length"))
+    if broken := files.select("path", "length").join(ended, ["path", "length"], "left_anti").head(1):
+        raise ValueError(f"the records of {broken[0].path} don't end at its length, {broken[0].length} bytes")
+    entries = entries.drop("exit")
     return candidates.join(entries, ["path", "chunk"]).groupBy("path", "chunk").applyInPandas(_read_range, RECORDS)

@@ -496,3 +496,22 @@ def test_pii_long_values_and_keys(spark):
     rows += [(9, f'here token = "{long}..." and'), (10, f"now {name}: QX-99-1234-ZZ."), (11, f"token = {'k' * 50_000} {'k' * 50_000} = 1{'.' * 50_000}")]
     got = {r.doc_id: r.spans for r in pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[9] == f"ident:14:{14 + len(long)}" and got[10] == f"ident:{6 + len(name)}:{19 + len(name)}" and got[11] == ""
+
+
+@pytest.mark.parametrize("range_bytes", [3000, 1 << 20])
+def test_warc_long_urls(spark, range_bytes):
+    rows = [(1, "http://x/1", "first"), (2, "data:," + "q" * 70_000, "long"), (3, "http://x/3?" + "r" * 300_000, "longer"), (4, "http://x/4", "last")]
+    path = Scratch(spark, "t").path("w")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    got = warc.read_warc(spark, path, range_bytes).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.digest_ok) for r in got) == [(i, len(h), True) for i, _, h in rows]
+
+
+def test_warc_broken_chain_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_warc(spark.createDataFrame([(i, "u", f"page {i}") for i in range(3)], "page_id long, url string, html string").coalesce(1), path)
+    (part,) = (tmp_path / "w").glob("part-*")
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "a.warc").write_bytes(part.read_bytes().replace(b"Content-Length: 6\r\n\r\npage 1", b"Content-Length: 7\r\n\r\npage 1"))
+    with pytest.raises(ValueError, match="end at its length"):
+        warc.read_warc(spark, str(tmp_path / "cut"))
