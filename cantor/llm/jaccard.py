@@ -2,27 +2,28 @@
 
 1. A scan finds frequent shingles; they go to the end of the order that prefixes are taken in.
 2. A second scan gives each document its set's size, digest, prefix (two sets that link share a shingle of
-   their prefixes) and two bitmaps: one of its shingles, hashed to BITS bits, and one with a bit for the
-   smallest shingle of each of BINS hash orders, which serves sets of any size.
+   their prefixes) and a bitmap of its shingles, hashed to BITS bits.
    Documents with equal sets become one class, in an aggregation that combines before it shuffles.
 3. Classes are sorted by their smallest shingles and cut into leaves of LEAF neighbours. Classes that agree
    on two smallest shingles are checked in small salted blocks, which joins most copies into components.
 4. Each prefix shingle that two components share is a tree: leaves, and above them nodes that hold OR-combined
    bitmaps, size ranges and, if there is only one, the component. A dual traversal drops node pairs whose
-   sizes, bitmaps (their maximum possible overlap) or component rule out a new link; in a leaf pair, a
-   shingle bit that one set alone has is a shingle that the other lacks, which bounds the overlap. What
-   survives is a list of classes of two leaves, so a crowd of near copies is never written out as pairs.
-5. Surviving leaf pairs are checked exactly on the whole sets. Components of all links follow.
-
-A pair at the threshold fails the bitmap bound with probability under MISS (at 0.85, 32 of 64 bins must agree,
-0.87 do on average; at 0.80, 28); everything else is exact but for collisions of 64-bit hashes.
+   maximum possible overlap is too small for their sizes, or that hold one component only. Trees of more than
+   SPLIT classes are dealt as pairs of blocks of leaves, so no task gets a crowded tree whole.
+   What survives is a list of classes of two leaves, so a crowd of near copies is never written out as pairs.
+5. Surviving leaf pairs are bounded again on bitmaps as long as the sets ask for, and then checked exactly on
+   the whole sets. Components of all links follow.
+
+The maximum possible overlap of two nodes is the least of: their largest sizes; the most shingles that follow
+the tree's shingle in a set's order (a linked pair is found in the tree of its first common shingle); the bits
+that both bitmaps have and the most shingles of a set that share a bit. Of two sets it is also a set's size
+less the bits that it has and the other lacks. No bound ever drops a link; everything is exact but for
+collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -31,19 +32,21 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantor.llm.common import Scratch
+from cantor.llm.common import Scratch, fresh, portions
 
 WORDS, PERCENT = 4, 85
-#: Classes of a leaf and of a block, bins of a signature.
-LEAF, BLOCK, BINS = 128, 96, 64
-#: Most probability with which the bins may rule out a pair at the threshold.
-MISS = 1e-12
+#: Classes of a leaf and of a block.
+LEAF, BLOCK = 128, 96
 #: Bits of the bitmap of all shingles.
 BITS = 1024
+#: Classes of a block of leaves, of which a tree with more of them is made.
+SPLIT = 1024
 #: Groups up to this size are one leaf pair each, and many are looked at together.
 FLAT = 48
 #: Pairs of smallest shingles whose agreement brings classes into a block (step 3).
 HOMES = 3
+#: Orders whose smallest shingles are taken.
+BINS = 2 * HOMES
 #: A shingle is frequent above FREQUENT prefixes, or more if over HOT_TOKENS shingles would be.
 FREQUENT, HOT_TOKENS = 100, 1_000_000
 #: Most class ids that are broadcast to pick documents; beyond it they are joined.
@@ -78,22 +81,6 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1 if n else 0
 
 
-@lru_cache
-def agreeing_bins(percent: int) -> int:
-    """Bins that must agree: as many as a pair at the threshold has but with a probability under MISS.
-
-    A bin agrees if its minimum is shared, or else by one of eight bits.
-    """
-    q = percent / 100 + (1 - percent / 100) / 8
-    fewer, least = 0.0, 0
-    while least < BINS:
-        fewer += math.comb(BINS, least) * q**least * (1 - q) ** (BINS - least)
-        if fewer >= MISS:
-            break
-        least += 1
-    return least
-
-
 def minima(tokens: np.ndarray) -> np.ndarray:
     """The smallest shingle's hash in each of BINS orders."""
     low = np.full(BINS, np.iinfo(np.uint32).max, np.uint32)
@@ -105,12 +92,11 @@ def minima(tokens: np.ndarray) -> np.ndarray:
     return low
 
 
-def signature(tokens: np.ndarray, low: np.ndarray) -> bytes:
-    """A byte for each bin with one of eight bits set, then the bitmap of all shingles; both OR-combine."""
-    bins = (np.uint8(1) << ((low * np.uint32(0x9E3779B1)) >> np.uint32(29)).astype(np.uint8)).astype(np.uint8)
+def signature(tokens: np.ndarray) -> bytes:
+    """The bitmap of all shingles; bitmaps OR-combine."""
     bits = np.zeros(BITS, np.uint8)
     bits[tokens & np.uint64(BITS - 1)] = 1
-    return bins.tobytes() + np.packbits(bits).tobytes()
+    return np.packbits(bits).tobytes()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -121,7 +107,7 @@ def frequent_shingles(docs: DataFrame, percent: int, words: int) -> np.ndarray:
     """Sorted hashes of the shingles that stand in many documents' first two prefix lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = (shingle_set(t, words) for t in batch.column(0).to_pylist() if t)
             low = [u[: 2 * prefix_length(len(u), percent)] for u in sets]
             tokens, n = np.unique(np.concatenate([np.empty(0, np.uint64), *low]), return_counts=True)
@@ -145,56 +131,105 @@ def _is_in(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(at, len(hot) - 1)] == tokens
 
 
-def ordered_prefix(tokens: np.ndarray, hot: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def ordered_prefix(tokens: np.ndarray, hot: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """The prefix in the order: shingles that aren't frequent by hash, then the frequent ones."""
     p = prefix_length(len(tokens), percent)
     first = tokens[: 2 * p]
-    rare = first[~_is_in(first, hot)]
+    rare, crowded = first[~_is_in(first, hot)], tokens[:0]
     if len(rare) < p:
         flags = _is_in(tokens, hot)
-        rare = np.concatenate([tokens[~flags], tokens[flags]])
-    return rare[:p]
+        rare, crowded = tokens[~flags], tokens[flags]
+    return rare[:p], crowded[: max(p - len(rare), 0)]
 
 
-BASE = "doc_id long, n long, class long, prefix array<long>, signature binary, " + ", ".join(f"home{i} long" for i in range(HOMES))
+BASE = "doc_id long, n long, class long, prefix array<long>, crowded array<long>, signature binary, " + ", ".join(f"home{i} long" for i in range(HOMES))
 
 
 def describe(docs: DataFrame, hot, percent: int, words: int) -> DataFrame:
     """Size, class (a digest of the set), prefix, signature and homes of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 u = shingle_set(text or "", words)
                 low = minima(u)
                 homes = [xxhash.xxh64_intdigest(low[2 * i : 2 * i + 2].tobytes()) for i in range(HOMES)]
                 digest = xxhash.xxh3_64_intdigest(u.tobytes())
-                rows.append((doc_id, len(u), digest, ordered_prefix(u, hot.value, percent).view(np.int64), signature(u, low), *homes))
-            cols = list(zip(*rows, strict=True)) or [()] * (5 + HOMES)
+                rare, crowded = ordered_prefix(u, hot.value, percent)
+                rows.append((doc_id, len(u), digest, rare.view(np.int64), crowded.view(np.int64), signature(u), *homes))
+            cols = list(zip(*rows, strict=True)) or [()] * (6 + HOMES)
             signed = lambda c: pa.array(np.asarray(c, np.uint64).view(np.int64))
-            arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), signed(cols[2]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.binary()), *map(signed, cols[5:])]
+            arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), signed(cols[2]), *(pa.array(c, pa.list_(pa.int64())) for c in cols[3:5]), pa.array(cols[5], pa.binary()), *map(signed, cols[6:])]
             yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in BASE.split(", ")])
 
     return _texts(docs).mapInArrow(run, BASE)
 
 
+def long_bitmap(tokens: np.ndarray) -> bytes:
+    """A bitmap of at least four bits a shingle; its halves OR-combine to the bitmap of half the length."""
+    length = max(BITS, 1 << max(4 * len(tokens) - 1, 0).bit_length())
+    bits = np.zeros(length, np.uint8)
+    bits[tokens & np.uint64(length - 1)] = 1
+    return np.packbits(bits).tobytes()
+
+
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int, scratch: Scratch, name: str) -> DataFrame:
-    """(class, tokens) of the wanted classes (class, rep), from the texts of their representatives."""
+    """(class, tokens, bitmap) of the wanted classes (class, rep), from the texts of their representatives."""
     wanted = scratch.save(wanted, f"{name}-wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     rows = _texts(docs).join(side, F.col("doc_id") == F.col("rep")).select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             kept = []
             for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = shingle_set(text or "", words).tobytes()
+                tokens = shingle_set(text or "", words)
+                data = tokens.tobytes()
                 if int(np.uint64(xxhash.xxh3_64_intdigest(data)).view(np.int64)) == number:
-                    kept.append((number, data))
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary())], names=["class", "tokens"])
+                    kept.append((number, data, long_bitmap(tokens)))
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], kind) for i, kind in enumerate(kinds)], names=["class", "tokens", "bitmap"])
 
-    return scratch.save(rows.mapInArrow(run, "class long, tokens binary").dropDuplicates(["class"]), name)
+    # one row of each representative, whose repeated rows would be written again and again
+    return scratch.save(rows.mapInArrow(run, "class long, tokens binary, bitmap binary").dropDuplicates(["class"]), name)
+
+
+def _folded(bitmaps: list[np.ndarray], length: int) -> np.ndarray:
+    out = []
+    for x in bitmaps:
+        while len(x) > length:
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        out.append(x)
+    return np.stack(out)
+
+
+def bounded(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``units`` (unit, class, side, comp, n) that have a partner of possible overlap by the long bitmaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            side, comp, size = (group.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            bitmaps = [np.frombuffer(x, np.uint64) for x in group.column(5).to_pylist()]
+            keep = np.zeros(len(side), bool)
+            cols = np.flatnonzero(side & 2)
+            for i in np.flatnonzero(side & 1):
+                need = -(-percent * (size[i] + size[cols]) // (100 + percent))
+                which = (np.minimum(size[i], size[cols]) >= need) & (comp[i] != comp[cols])
+                some, need = cols[which], need[which]
+                if not len(some):
+                    continue
+                length = min(len(bitmaps[i]), *(len(bitmaps[j]) for j in some)) if len(some) else 0
+                own, others = _folded([bitmaps[i]], length)[0], _folded([bitmaps[j] for j in some], length)
+                slack = np.minimum(size[i] - int(np.bitwise_count(own).sum()), size[some] - np.bitwise_count(others).sum(axis=1, dtype=np.int64))
+                good = np.bitwise_count(own & others).sum(axis=1, dtype=np.int64) + slack >= need
+                keep[some[good]] = True
+                keep[i] |= good.any()
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in group.columns[:4]], names=["unit", "class", "side", "comp"])
+
+    rows = units.join(sets.select("class", "bitmap"), "class").select("unit", "class", "side", "comp", "n", "bitmap")
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "unit long, class long, side int, comp long")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -311,127 +346,201 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return labels
 
 
+class _Group:
+    """Classes of one tree, sorted by leaf: columns of equal length.
+
+    rest: shingles from the tree's shingle on in the set's order. slack: shingles less bits of the bitmap.
+    """
+
+    __slots__ = ("number", "size", "comp", "leaf", "rest", "slack", "bits")
+
+    def __init__(self, number, size, comp, leaf, rest, bits, slack=None):
+        self.number, self.size, self.comp, self.leaf, self.rest, self.bits = number, size, comp, leaf, rest, bits
+        self.slack = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64) if slack is None else slack
+
+    def cut(self, at) -> _Group:
+        return _Group(self.number[at], self.size[at], self.comp[at], self.leaf[at], self.rest[at], self.bits[at], self.slack[at])
+
+
 class _Node:
-    """Members lo..hi of a group: OR-combined bitmap, size range, the component if there is one only."""
+    """Members lo..hi of a group: OR-combined bitmap, ranges, the component if there is one only."""
+
+    __slots__ = ("lo", "hi", "bits", "small", "large", "rest", "slack", "comp", "parts")
 
-    __slots__ = ("lo", "hi", "bits", "small", "large", "comp", "parts")
+    def __init__(self, lo, hi, bits, small, large, rest, slack, comp, parts=()):
+        self.lo, self.hi, self.bits, self.small, self.large, self.rest, self.slack, self.comp, self.parts = lo, hi, bits, small, large, rest, slack, comp, parts
 
-    def __init__(self, lo, hi, bits, small, large, comp, parts=()):
-        self.lo, self.hi, self.bits, self.small, self.large, self.comp, self.parts = lo, hi, bits, small, large, comp, parts
+    def may_link(self, other: _Node, percent: int) -> bool:
+        """Whether the maximum possible overlap is enough for the smallest sizes."""
+        if self.comp is not None and self.comp == other.comp:
+            return False
+        need = percent * max(self.small + max(other.small, -(-percent * self.small // 100)), other.small + max(self.small, -(-percent * other.small // 100)))
+        if (100 + percent) * min(self.large, other.large, self.rest, other.rest) < need:
+            return False
+        return (100 + percent) * (int(np.bitwise_count(self.bits & other.bits).sum()) + min(self.slack, other.slack)) >= need
 
 
-def _tree(cuts: list[int], size: np.ndarray, comp: np.ndarray, bits: np.ndarray) -> _Node:
+def _tree(group: _Group) -> _Node:
+    cuts = [0, *(np.flatnonzero(np.diff(group.leaf)) + 1).tolist(), len(group.leaf)]
     level = []
     for lo, hi in zip(cuts, cuts[1:], strict=False):
-        one = comp[lo] if (comp[lo:hi] == comp[lo]).all() else None
-        level.append(_Node(lo, hi, np.bitwise_or.reduce(bits[lo:hi], axis=0), size[lo:hi].min(), size[lo:hi].max(), one))
+        one = int(group.comp[lo]) if (group.comp[lo:hi] == group.comp[lo]).all() else None
+        size = group.size[lo:hi]
+        level.append(_Node(lo, hi, np.bitwise_or.reduce(group.bits[lo:hi], axis=0), int(size.min()), int(size.max()), int(group.rest[lo:hi].max()), int(group.slack[lo:hi].max()), one))
     while len(level) > 1:
         above = []
         for i in range(0, len(level), 4):
             parts = level[i : i + 4]
             one = parts[0].comp if all(p.comp is not None and p.comp == parts[0].comp for p in parts) else None
-            above.append(_Node(parts[0].lo, parts[-1].hi, np.bitwise_or.reduce([p.bits for p in parts], axis=0), min(p.small for p in parts), max(p.large for p in parts), one, tuple(parts)))
+            bits = np.bitwise_or.reduce([p.bits for p in parts], axis=0)
+            above.append(_Node(parts[0].lo, parts[-1].hi, bits, min(p.small for p in parts), max(p.large for p in parts), max(p.rest for p in parts), max(p.slack for p in parts), one, tuple(parts)))
         level = above
     return level[0]
 
 
-def may_link(i: np.ndarray, j: np.ndarray, size: np.ndarray, comp: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the pairs (i, j) sizes, components and bitmaps leave possible."""
-    ok = (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])) & (comp[i] != comp[j])
+def may_link(a: _Group, i: np.ndarray, b: _Group, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (i of a, j of b) components and the maximum possible overlap leave possible."""
+    need = -(-percent * (a.size[i] + b.size[j]) // (100 + percent))
+    ok = (np.minimum(np.minimum(a.rest[i], b.rest[j]), np.minimum(a.size[i], b.size[j])) >= need) & (a.comp[i] != b.comp[j])
     at = np.flatnonzero(ok)
-    for lo in range(0, len(at), 100_000):
-        part = at[lo : lo + 100_000]
-        a, b = bits[i[part]], bits[j[part]]
-        good = np.count_nonzero(a[:, :BINS] & b[:, :BINS], axis=1) >= agreeing_bins(percent)
-        x, y = (np.ascontiguousarray(z[:, BINS:]).view(np.uint64) for z in (a, b))
-        n, m = size[i[part]], size[j[part]]
-        need = -(-percent * (n + m) // (100 + percent))
-        good &= n - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) >= need
-        good &= m - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64) >= need
-        ok[part] = good
+    for lo in range(0, len(at), 50_000):
+        part = at[lo : lo + 50_000]
+        x, y = a.bits[i[part]], b.bits[j[part]]
+        n, m = a.size[i[part]], b.size[j[part]]
+        both = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+        # of a set's bits, those that the other lacks are at least so many shingles that the other lacks
+        ok[part] = both + np.minimum(a.slack[i[part]], b.slack[j[part]]) >= need[part]
     return ok
 
 
-def traverse(size: np.ndarray, comp: np.ndarray, bits: np.ndarray, leaf: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Dual traversal of the signature tree over a group sorted by leaf: (rows, columns) that may link."""
-    cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
-    root = _tree(cuts, size, comp, bits)
-    todo = [(root, root)]
+def traverse(a: _Group, b: _Group | None = None, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Dual traversal of signature trees: (rows of a, rows of b) that may link; of one tree with itself without b."""
+    root = _tree(a)
+    todo = [(root, root if b is None else _tree(b))]
+    b = a if b is None else b
     while todo:
-        a, b = todo.pop()
-        if 100 * a.large < percent * b.small or 100 * b.large < percent * a.small or (a.comp is not None and a.comp == b.comp):
+        x, y = todo.pop()
+        if not x.may_link(y, percent):
             continue
-        if a is not b and np.count_nonzero(a.bits[:BINS] & b.bits[:BINS]) < agreeing_bins(percent):
-            continue
-        if a.parts or b.parts:
-            if a is b:
-                todo += combinations(a.parts, 2)
-                todo += [(p, p) for p in a.parts]
-            elif a.parts and (not b.parts or a.hi - a.lo >= b.hi - b.lo):
-                todo += [(p, b) for p in a.parts]
+        if x.parts or y.parts:
+            if x is y:
+                todo += combinations(x.parts, 2)
+                todo += [(p, p) for p in x.parts]
+            elif x.parts and (not y.parts or x.hi - x.lo >= y.hi - y.lo):
+                todo += [(p, y) for p in x.parts]
             else:
-                todo += [(a, p) for p in b.parts]
+                todo += [(x, p) for p in y.parts]
             continue
-        i, j = (x.ravel() for x in np.meshgrid(np.arange(a.lo, a.hi), np.arange(b.lo, b.hi), indexing="ij"))
-        if a is b:
+        i, j = (z.ravel() for z in np.meshgrid(np.arange(x.lo, x.hi), np.arange(y.lo, y.hi), indexing="ij"))
+        if x is y:
             i, j = i[i < j], j[i < j]
-        good = may_link(i, j, size, comp, bits, percent)
+        good = may_link(a, i, b, j, percent)
         if good.any():
             yield np.unique(i[good]), np.unique(j[good])
 
 
-def candidate_leaves(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Units (la, lb, a, b): classes of two leaves between which a link is possible, from every tree."""
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+def tree_members(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, class, rest, m): the classes of each prefix shingle that two components share, m in all.
+
+    Shingles that aren't frequent have few classes each, which a window sees; frequent ones are counted first
+    and then joined.
+    """
+
+    def postings(array: str, before) -> DataFrame:
+        rows = classes.select("class", "comp", (F.col("n") - before).alias("rest"), F.posexplode(array).alias("at", "token"))
+        return rows.select("token", "class", "comp", (F.col("rest") - F.col("at")).alias("rest"))
+
+    tree = Window.partitionBy("token")
+    rare = postings("prefix", F.lit(0)).withColumn("low", F.min("comp").over(tree)).withColumn("high", F.max("comp").over(tree)).withColumn("m", F.count("*").over(tree))
+    rare = rare.filter("low <> high").select("token", "class", "rest", "m")
+    crowded = postings("crowded", F.size("prefix"))
+    trees = crowded.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).filter("low <> high").select("token", "m")
+    # written, so that the join deals both sides anew and a crowded tree can be split
+    trees = scratch.save(trees, "trees")
+    return rare.union(crowded.select("token", "class", "rest").join(trees, "token").select("token", "class", "rest", "m"))
+
+
+UNITS = "la long, lb long, class long, side int"
+
+
+def candidate_leaves(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(la, lb, class, side): classes of two leaves between which a link is possible, from every tree.
 
-    def units(columns: list[np.ndarray]) -> list[tuple]:
-        token, number, size, comp, leaf, bits = columns
+    A tree of more than SPLIT classes is dealt as pairs of its blocks, which are sets of leaves.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+
+    def units(tree: np.ndarray, side: np.ndarray, group: _Group) -> list[np.ndarray]:
         out = []
-        edges = np.flatnonzero(np.diff(token)) + 1
-        starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(token)]])
-        for lo, hi in zip(starts[ends - starts > FLAT], ends[ends - starts > FLAT], strict=True):
-            for rows, cols in traverse(size[lo:hi], comp[lo:hi], bits[lo:hi], leaf[lo:hi], percent):
-                out.append((leaf[lo + rows[0]], leaf[lo + cols[0]], number[lo + rows], number[lo + cols]))
-        end = np.repeat(np.where(ends - starts > FLAT, starts, ends), ends - starts)
-        at = np.arange(len(token))
+
+        def add(rows: np.ndarray, other: _Group, cols: np.ndarray, of: _Group) -> None:
+            la, lb = of.leaf[rows[0]], other.leaf[cols[0]]
+            flip = la > lb
+            for number, one in ((of.number[rows], 2 if flip else 1), (other.number[cols], 1 if flip else 2)):
+                out.append(np.stack([np.full(len(number), min(la, lb)), np.full(len(number), max(la, lb)), number, np.full(len(number), one)]))
+
+        edges = np.flatnonzero(np.diff(tree)) + 1
+        starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(tree)]])
+        alone = (ends - starts > FLAT) | (side[starts] != 3)
+        for lo, hi in zip(starts[alone], ends[alone], strict=True):
+            if side[lo] == 3:
+                one = group.cut(slice(lo, hi))
+                for rows, cols in traverse(one, percent=percent):
+                    add(rows, one, cols, one)
+            elif side[hi - 1] != side[lo]:
+                mid = lo + int(np.searchsorted(side[lo:hi], 2))
+                one, two = group.cut(slice(lo, mid)), group.cut(slice(mid, hi))
+                for rows, cols in traverse(one, two, percent):
+                    add(rows, two, cols, one)
+        end = np.repeat(np.where(alone, starts, ends), ends - starts)
+        at = np.arange(len(tree))
         for step in range(1, FLAT):
             i = at[at + step < end]
             if not len(i):
                 break
-            good = may_link(i, i + step, size, comp, bits, percent)
-            out += [(leaf[k], leaf[k + step], number[k : k + 1], number[k + step : k + step + 1]) for k in i[good]]
+            good = i[may_link(group, i, group, i + step, percent)]
+            la, lb = group.leaf[good], group.leaf[good + step]
+            for number in (good, good + step):
+                out.append(np.stack([la, lb, group.number[number], np.full(len(good), 1 if number is good else 2)]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["la", "lb", "a", "b"])
-
-        def joined() -> list[np.ndarray]:
-            return [np.concatenate(c) for c in zip(*held, strict=True)]
+        def found() -> Iterator[pa.RecordBatch]:
+            tree, side, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
+            rows = units(tree, side, _Group(*columns)) if len(tree) else []
+            if rows:
+                table = np.unique(np.concatenate(rows, axis=1), axis=1)
+                for lo in range(0, table.shape[1], 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000], k) for c, k in zip(table, kinds, strict=True)], names=["la", "lb", "class", "side"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            plain = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
-            columns = [*plain, np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(len(plain[0]), -1)]
-            token = plain[0]
-            first = int(np.searchsorted(token != token[0], True)) if token[-1] != token[0] else len(token)
-            if held and held[-1][0][-1] == token[0] and first == len(token):
+            plain = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:7]]
+            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(len(plain[0]), -1)
+            columns = [*plain, bits]
+            tree = plain[0]
+            other = np.flatnonzero(tree != tree[-1])
+            last = int(other[-1]) + 1 if len(other) else 0
+            if held and not last and held[-1][0][-1] == tree[0]:
                 held.append(columns)
                 continue
-            last = int(np.flatnonzero(token != token[-1])[-1]) + 1 if token[-1] != token[0] else 0
             held.append([c[:last] for c in columns])
-            if rows := units(joined()) if sum(len(h[0]) for h in held) else []:
-                yield batch_of(rows)
+            yield from found()
             held = [[c[last:] for c in columns]]
-        if held and (rows := units(joined())):
-            yield batch_of(rows)
+        if held:
+            yield from found()
 
-    rows = shared.join(classes.select("class", "n", "comp", "leaf", "signature"), "class").select("token", "class", "n", "comp", "leaf", "signature")
-    found = rows.repartition("token").sortWithinPartitions("token", "leaf", "class").mapInArrow(run, "la long, lb long, a array<long>, b array<long>")
-    return found.groupBy("la", "lb").agg(*[F.array_distinct(F.flatten(F.collect_set(s))).alias(s) for s in ("a", "b")])
+    blocks = F.ceil(F.col("m") / SPLIT).cast("int")
+    own = F.pmod(F.xxhash64("leaf"), blocks).cast("int")
+    rows = members.join(classes.select("class", "n", "comp", "leaf", "signature"), "class").withColumn("own", own)
+    one = rows.filter(F.col("m") <= SPLIT).select(F.col("token").alias("tree"), F.lit(3).alias("side"), "class", "n", "comp", "leaf", "rest", "signature")
+    pair = rows.filter(F.col("m") > SPLIT).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("own") == F.col("other"), 3).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    several = pair.select(F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("tree"), side.alias("side"), "class", "n", "comp", "leaf", "rest", "signature")
+    return one.union(several).repartition("tree").sortWithinPartitions("tree", "side", "leaf", "class").mapInArrow(run, UNITS)
 
 
 def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -446,11 +555,13 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     scratch = Scratch(spark, "jaccard")
     hot = spark.sparkContext.broadcast(frequent_shingles(docs, percent, words))
     base = scratch.save(describe(docs, hot, percent, words), "base")
-    firsts = [F.first(c).alias(c) for c in ("n", "prefix", "signature", *(f"home{i}" for i in range(HOMES)))]
+    firsts = [F.first(c).alias(c) for c in ("n", "prefix", "crowded", "signature", *(f"home{i}" for i in range(HOMES)))]
     classes = base.filter("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), *firsts)
     order = ["home0", "n", "class"]
     classes = classes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("leaf", F.shiftright(F.monotonically_increasing_id(), LEAF.bit_length() - 1))
     classes = scratch.save(classes, "classes")
+    rows = scratch.save(base.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class")), "rows")
+    scratch.drop("base")
 
     homes = classes.select("class", "rep", F.posexplode(F.array(*[f"home{i}" for i in range(HOMES)])).alias("i", "home"))
     # written, so that the join deals both sides anew and a crowded home can be split
@@ -464,31 +575,31 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     classes = scratch.save(classes.join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("comp", F.coalesce("comp", "class")), "joined")
     scratch.drop("classes", "crowd", "blocks", "near-sets")
 
-    tree = Window.partitionBy("token")
-    postings = classes.select(F.explode("prefix").alias("token"), "class", "comp")
-    shared = postings.withColumn("low", F.min("comp").over(tree)).withColumn("high", F.max("comp").over(tree)).filter("low <> high").select("token", "class")
-    found = scratch.save(candidate_leaves(shared, classes, percent), "found")
-    unit = F.xxhash64("la", "lb").alias("unit")
-    sides = found.select(unit, F.explode("a").alias("class"), F.lit(1).alias("side")).union(found.select(unit, F.explode("b").alias("class"), F.lit(2).alias("side")))
-    units = sides.groupBy("unit", "class").agg(F.sum("side").cast("int").alias("side")).join(classes.select("class", "comp", "rep"), "class")
+    shared = scratch.save(tree_members(classes, scratch), "shared")
+    found = candidate_leaves(shared, classes, percent)
+    units = found.groupBy(F.xxhash64("la", "lb").alias("unit"), "class").agg(F.bit_or("side").alias("side")).join(classes.select("class", "comp", "rep", "n"), "class")
     units = scratch.save(units, "units")
+    scratch.drop("shared")
     rest = class_sets(docs, units.select("class", "rep").distinct(), words, scratch, "rest-sets")
-    more = verify(units.drop("rep"), rest, percent)
+    more = verify(scratch.save(bounded(units.select("unit", "class", "side", "comp", "n"), rest, percent), "bounded"), rest, percent)
     links = scratch.save(links.union(more), "links1")
     final = components(links, scratch, "final")
     named = classes.select("class", "rep").join(final.withColumnRenamed("node", "class"), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     names = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = scratch.save(named.join(names, "comp").select("class", "component_id"), "named")
-    scratch.drop("joined", "found", "units", "rest-sets", "links0", "links1")
-    rows = base.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
+    scratch.drop("joined", "trees", "units", "bounded", "rest-sets", "links0", "links1")
     return rows.join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents that name their component: one of each group of near copies, and all that link with nothing.
 
-    Repeated rows of one doc_id are one document and stay together; rows without a doc_id stay.
+    Rows of one doc_id are one document and stay together, but for rows that repeat id and text, of which one
+    stays; rows without a doc_id stay.
     """
-    linked = ngram_jaccard_join(docs, percent, words).filter("doc_id = component_id").select(F.col("doc_id").alias("_named")).distinct()
-    kept = docs.join(linked, F.col("doc_id") == F.col("_named"), "left_semi")
-    return kept.union(docs.filter("doc_id is null"))
+    ids, named, times = fresh(docs, "named"), fresh(docs, "id"), fresh(docs, "times")
+    linked = ngram_jaccard_join(docs, percent, words).groupBy(F.col("doc_id").alias(named)).agg(F.count("*").alias(times), F.bool_or(F.col("doc_id") == F.col("component_id")).alias(ids)).filter(f"{ids} and {named} is not null").drop(ids)
+    kept = docs.join(linked, F.col("doc_id") == F.col(named))
+    once = kept.filter(F.col(times) == 1).select(docs.columns)
+    repeated = kept.filter(F.col(times) > 1).select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.union(repeated).union(docs.filter("doc_id is null"))
