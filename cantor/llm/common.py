@@ -6,14 +6,17 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Spaces of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows that a Python worker gets at once while a table is written: whole texts and sets can be long.
-ARROW_KEY, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Bytes of a portion that Python code turns into objects at once; Spark bounds what a batch has
+#: (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set).
+PORTION_BYTES = 2 << 20
 _own: dict[str, str] = {}
 
 
@@ -45,12 +48,7 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        old = self.spark.conf.get(ARROW_KEY)
-        self.spark.conf.set(ARROW_KEY, str(min(ARROW_ROWS, int(old)) if int(old) > 0 else ARROW_ROWS))
-        try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
-        finally:
-            self.spark.conf.set(ARROW_KEY, old)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -65,6 +63,20 @@ class Scratch:
             pass
 
 
+def portions(batches: Iterator[pa.RecordBatch], most: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into portions of about ``most`` bytes: long texts come one by one, short ones together."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for lo in range(0, batch.num_rows, step):
+            yield batch.slice(lo, step)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have; Spark's names differ by more than case."""
+    taken = {c.lower() for c in df.columns}
+    return next(x for i in range(len(taken) + 1) if (x := f"_{name}{i or ''}").lower() not in taken)
+
+
 def open_uri(uri: str):
     """A file system and a path in it, for a path as Spark prints it (``file:/x`` or ``scheme://host/x``)."""
     uri = re.sub(r"^file:/(?!/)", "file:///", uri)

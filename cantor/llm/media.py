@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from cantor.llm.common import open_uri
+from cantor.llm.common import open_uri, portions
 
 #: Bytes of a row of the image, and so the unit that payloads are padded to.
 ROW = 576
@@ -89,7 +89,7 @@ def write_archives(docs: DataFrame, root: str, archive_bytes: int = 256 << 20) -
             done.append((uri, size, n))
             archive = None
 
-        for batch in batches:
+        for batch in portions(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if archive is None:
                     uri = f"{root}/archives/{uuid.uuid4().hex}.zip"
@@ -224,7 +224,7 @@ def media_features(media: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc_id, data, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if error:

@@ -15,16 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantor.llm.common import SPACES
+from cantor.llm.common import SPACES, portions
 
-#: Fixed values of the line rules.
-BOILERPLATE = ("lorem ipsum", "enable javascript", "accept cookies", "use of cookies", "terms of use", "terms of service", "privacy policy", "all rights reserved", "click here", "read more", "sign up", "log in")
+#: Fixed values of the line rules: boilerplate phrases in English, German, French and Spanish.
+BOILERPLATE = ("lorem ipsum", "enable javascript", "accept cookies", "use of cookies", "terms of use", "terms of service", "privacy policy", "all rights reserved", "click here", "read more", "sign up", "log in",
+               "alle rechte vorbehalten", "cookies akzeptieren", "verwendung von cookies", "datenschutzerklärung", "nutzungsbedingungen", "javascript aktivieren", "hier klicken", "jetzt anmelden",
+               "tous droits réservés", "accepter les cookies", "utilisation de cookies", "politique de confidentialité", "conditions d'utilisation", "activer javascript", "cliquez ici", "lire la suite", "s'inscrire",
+               "todos los derechos reservados", "aceptar cookies", "uso de cookies", "política de privacidad", "términos de uso", "condiciones de uso", "haga clic aquí", "leer más", "iniciar sesión")
 SEPARATORS = "|»›•·"
 TERMINAL = (".", "!", "?", "…", ":", ";", '"', "'", ")", "”", "»")
 SYMBOLS = "#*$%&|<>"
 #: Most words of a line that a boilerplate phrase condemns.
 BOILERPLATE_WORDS = 30
-#: Words beyond which repeated windows are counted by sorting numbers rather than by hashing tuples.
+#: Words beyond which repeated windows are counted by sorting numbers, in less memory than by hashing tuples; counts are the same.
 SORT_WORDS = 50_000
 #: Share of a document's words that may be lost with its failing lines.
 MOST_LOST = 0.5
@@ -119,7 +122,7 @@ def quality_rules(docs: DataFrame, most_lost: float = MOST_LOST, with_text: bool
     kinds = [arrow[x.split()[1]] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = [judge(t or "", most_lost) | {"doc_id": d} for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in zip(names, kinds, strict=True)], names=names)
 
@@ -133,7 +136,7 @@ def reject_documents(docs: DataFrame, most_lost: float = MOST_LOST) -> DataFrame
     at, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             judged = [judge(t or "", most_lost) for t in batch.column(at).to_pylist()]
             batch = batch.set_column(at, names[at], pa.array([j["clean_text"] for j in judged], pa.string()))
             if count is not None:
