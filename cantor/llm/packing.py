@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import array
 import bisect
+import json
 import os
 import re
 import sys
@@ -27,19 +28,20 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantor.llm.common import Scratch
+from cantor.llm.common import Scratch, portions
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 #: Distinct chunks without white space, and words of them, in a generation of what a worker remembers.
 CACHE_CHUNKS = 500_000
-#: Fixed value: how the tokenizer's file splits normalised text.
+#: How the files that the quick way is for normalise and split text.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Most runs that are broadcast (40 bytes each); beyond it they are joined by blocks of ranks.
 BROADCAST_RUNS = 1_000_000
 RANK_BLOCK = 1 << 16
 #: Outside this, white space and normal forms need the tokenizer's own rules on the whole text.
-_UNUSUAL = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
+_UNUSUAL = "[\x1c-\x1fɐ-\U0010ffff]"
 _IN_PART = (1 << 33) - 1
 
 _tokenizers: dict[str, tuple] = {}
@@ -84,7 +86,7 @@ class _Ids(dict):
         return ids
 
     def _merged(self, word: str) -> bytes:
-        letters = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+        letters = word if word.isascii() and word.isprintable() else "".join([_LETTERS[b] for b in word.encode()])
         return _packed_ids([t.id for t in self.tokenize(letters)])
 
 
@@ -93,12 +95,31 @@ def _tokenizer(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            form = json.load(f)
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _tokenizers[path] = (tokenizer, _Ids(tokenizer.model))
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        unusual = re.compile("|".join([_UNUSUAL, *map(re.escape, special)]))
+        _tokenizers[path] = (tokenizer, _Ids(tokenizer.model) if _is_quick(form) else None, unusual)
     return _tokenizers[path]
 
 
+def _is_quick(form: dict) -> bool:
+    """Whether a tokenizer's file splits text the way that ``_Ids`` does."""
+    before = form["pre_tokenizer"] or {}
+    split, letters = ((before.get("pretokenizers") or []) + [{}, {}])[:2]
+    model = form["model"]
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "fuse_unk"))
+    whole = not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in form["added_tokens"])
+    return (
+        plain and whole and form["truncation"] is None and form["post_processor"] is None
+        and (form["normalizer"] or {}).get("normalizers") == NORMALIZERS
+        and len(before.get("pretokenizers") or []) == 2
+        and split == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        and letters.get("type") == "ByteLevel" and not letters.get("add_prefix_space") and not letters.get("use_regex")
+    )
+
+
 def _packed_ids(ids: list[int]) -> bytes:
     return array.array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
@@ -108,12 +129,13 @@ def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:
 
     The tokenizer drops white space and merges within words only, so a text's ids are those of its chunks in
     turn, and a chunk's those of its words; a worker remembers both. Texts with unusual characters, whose
-    white space or normal form need the tokenizer's own rules, are encoded as a whole.
+    white space or normal form need the tokenizer's own rules, or with its special tokens, are encoded as a
+    whole; so are all texts where the file has another form of splitting.
     """
-    tokenizer, chunks = _tokenizer(tokenizer_path)
+    tokenizer, chunks, unusual = _tokenizer(tokenizer_path)
     out: list[bytes] = []
     for text in texts:
-        if _UNUSUAL.search(text):
+        if chunks is None or unusual.search(text):
             out.append(_packed_ids(tokenizer.encode(text, add_special_tokens=False).ids))
         else:
             out.append(b"".join(map(chunks.__getitem__, text.split())))
@@ -128,7 +150,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096
     end = _packed_ids([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows: list[tuple] = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts([t or "" for t in batch.column(1).to_pylist()], tokenizer_path), strict=True):
                 ids += end
