@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -49,6 +50,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date: st
     rows = pages.select(F.col("page_id").cast("long"), url.alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1("html")).withColumn("size", F.octet_length("html").cast("long"))
     copies = rows.filter(F.col("size") >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").select("digest", "first_id")
+    # written, so that its size is known: under Spark's threshold it is broadcast, beyond it pages are shuffled
+    copies = Scratch(pages.sparkSession, "warc-copies").save(copies, "copies")
     rows = rows.join(copies, "digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id")) & (F.col("size") >= min_revisit_bytes)
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
@@ -133,8 +136,9 @@ def reachable_entries(candidates: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _page(value: bytes) -> int | None:
-    text = value.strip(b"<>").rpartition(b":")[2]
-    return int(text) if text.lstrip(b"-").isdigit() else None
+    """The page_id of our own record ids; null for those of other writers."""
+    found = re.fullmatch(rb"<?urn:page:(-?[0-9]{1,19})>?", value)
+    return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
 
 
 def _read_range(group: pd.DataFrame) -> pd.DataFrame:
@@ -149,23 +153,32 @@ def _read_range(group: pd.DataFrame) -> pd.DataFrame:
             data = f.read(int(succ[at]) - at)
             stop = data.find(b"\r\n\r\n")
             head, payload = _header(data[:stop]), data[stop + 4 : -4]
-            digest = head[b"warc-payload-digest"].decode().removeprefix("sha1:")
-            revisit = head[b"warc-type"] == b"revisit"
-            own = digest if revisit else base64.b32encode(hashlib.sha1(payload).digest()).decode()
-            size = int(head[b"warc-payload-length"]) if revisit else len(payload)
-            rows.append((_page(head[b"warc-record-id"]), size, own, head[b"warc-type"].decode(), _page(head.get(b"warc-refers-to", b"")), path, at, own == digest))
+            named = head.get(b"warc-payload-digest", b"").decode("utf-8", "replace")
+            digest = named.removeprefix("sha1:") if named.startswith("sha1:") else None
+            kind = head.get(b"warc-type", b"").decode("utf-8", "replace")
+            length = head.get(b"warc-payload-length", b"")
+            if kind == "revisit":
+                own, size = digest, int(length) if length.isdigit() else None
+            else:
+                own, size = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+            rows.append((_page(head.get(b"warc-record-id", b"")), size, own, kind, _page(head.get(b"warc-refers-to", b"")), path, at, None if digest is None else own == digest))
             at = int(succ[at])
     out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "path", "record_offset", "digest_ok"])
-    return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+    return out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64", "digest_ok": "boolean"})
 
 
 def read_warc(spark, path: str, range_bytes: int = 16 << 20) -> DataFrame:
     """The records of the WARC files under ``path`` (columns of RECORDS); payload digests are recomputed.
 
+    Records of other writers come too: with their own type, a null page_id where the record id isn't one of
+    ours, a null digest_ok where none or no SHA-1 is named, and for revisits a null payload_bytes where the
+    length isn't. A payload is what follows the record's header. Gzipped files are refused.
     Empty files give no row; a chain of records that doesn't end at its file's length is an error.
     """
     scratch = Scratch(spark, "warc-read")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").filter("length > 0")
+    if zipped := files.filter("path like '%.gz'").head(1):
+        raise ValueError(f"{zipped[0].path} is gzipped; unpack it first")
     ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {range_bytes}"))).alias("chunk"))
     ranges = ranges.select("path", "chunk", (F.col("chunk") * range_bytes).alias("lo"), F.least("length", (F.col("chunk") + 1) * range_bytes).alias("hi"))
     candidates = scratch.save(scan_candidates(ranges.repartition(F.col("path"), F.col("chunk"))), "candidates")
