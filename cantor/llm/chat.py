@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cantor.llm.common import portions
+
 START, STOP = "<|im_start|>", "<|im_end|>\n"
 #: Code points of formatted text in one stored row; longer conversations take several rows.
 ROW_CHARS = 1 << 20
@@ -26,6 +28,8 @@ PATCH, AUDIO_TOKENS, PAGE_TOKENS = 28, 25, 512
 FORMATTED = "conv_id long, part long, last boolean, formatted string, loss array<struct<start:long,end:long>>, attachments array<struct<turn:long,kind:string,uri:string,tokens:long>>"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
+#: A placeholder; in a text, escaped, ``<`` and ``|`` never touch.
+_PLACEHOLDER = re.compile(r"<\|(image|audio|document)\|>")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -45,39 +49,82 @@ def unescape_role(role: str) -> str:
     return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
 
 
+def _measure(part: dict, name: str) -> float:
+    """A part's measure; numbers written as text count, what is no finite number of at least 0 is 0."""
+    try:
+        value = float(part.get(name) or 0)
+    except (TypeError, ValueError, OverflowError):
+        return 0.0
+    return value if 0 <= value < math.inf else 0.0
+
+
+def _string(value) -> str | None:
+    """A string without lone surrogates, which JSON can spell and UTF-8 can't; JSON of anything else."""
+    if value is None or isinstance(value, str):
+        return value and value.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return json.dumps(value)
+
+
+def read_parts(content: str) -> list[tuple[str, str]]:
+    """Typed parts of escaped content, in order: (text, its text), and (kind, "") for a placeholder."""
+    out: list[tuple[str, str]] = []
+    at = 0
+    for m in _PLACEHOLDER.finditer(content):
+        if m.start() > at:
+            out.append(("text", unescape(content[at : m.start()])))
+        out.append((m[1], ""))
+        at = m.end()
+    return out + ([("text", unescape(content[at:]))] if at < len(content) else [])
+
+
 class PartVisitor:
-    """Flattens parts ``{"type", "text" | "uri", ...}``; unknown types are kept as documents of no pages."""
+    """Flattens parts ``{"type", "text" | "uri", ...}``; unknown types are kept as documents of no pages.
+
+    What isn't an object is a text part; a text that isn't a string stands as JSON.
+    """
 
     def __init__(self, turn: int):
         self.turn, self.out, self.attachments = turn, [], []
 
-    def visit(self, part: dict) -> None:
+    def visit(self, part) -> None:
+        if not isinstance(part, dict):
+            part = {"type": "text", "text": part}
         getattr(self, f"visit_{part.get('type') or 'text'}", self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.out.append(escape(part.get("text") or ""))
+        self.out.append(escape(_string(part.get("text")) or ""))
 
     def _place(self, kind: str, part: dict, tokens: int) -> None:
         self.out.append(f"<|{kind}|>")
-        self.attachments.append({"turn": self.turn, "kind": kind, "uri": part.get("uri"), "tokens": tokens})
+        self.attachments.append({"turn": self.turn, "kind": kind, "uri": _string(part.get("uri")), "tokens": min(tokens, (1 << 63) - 1)})
 
     def visit_image(self, part: dict) -> None:
-        self._place("image", part, math.ceil((part.get("width") or 0) / PATCH) * math.ceil((part.get("height") or 0) / PATCH))
+        self._place("image", part, math.ceil(_measure(part, "width") / PATCH) * math.ceil(_measure(part, "height") / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self._place("audio", part, math.ceil((part.get("seconds") or 0) * AUDIO_TOKENS))
+        self._place("audio", part, math.ceil(_measure(part, "seconds") * AUDIO_TOKENS))
 
     def visit_document(self, part: dict) -> None:
-        self._place("document", part, (part.get("pages") or 0) * PAGE_TOKENS)
+        self._place("document", part, math.ceil(_measure(part, "pages")) * PAGE_TOKENS)
 
     def visit_other(self, part: dict) -> None:
         self._place("document", part, 0)
 
 
 def flatten(turn: int, text: str | None, parts: str | None = None) -> tuple[str, list[dict]]:
-    """Escaped content and attachments of a message: its JSON list of parts if it has one, else its text."""
+    """Escaped content and attachments of a message: its JSON list of parts if it has one, else its text.
+
+    Parts that are JSON but no list are one part; what isn't JSON is the text of one part.
+    """
     visitor = PartVisitor(turn)
-    for part in json.loads(parts) if parts else [{"type": "text", "text": text}]:
+    listed: list = [text]
+    if parts:
+        try:
+            found = json.loads(parts)
+            listed = found if isinstance(found, list) else [found]
+        except (ValueError, RecursionError):
+            listed = [parts]
+    for part in listed:
         visitor.visit(part)
     return "".join(visitor.out), visitor.attachments
 
@@ -99,7 +146,7 @@ def _format_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("last", pa.bool_()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("attachments", pa.list_(pa.struct([("turn", pa.int64()), ("kind", pa.string()), ("uri", pa.string()), ("tokens", pa.int64())])))])
     rows: list[dict] = []
-    for batch in batches:
+    for batch in portions(batches):
         for conv_id, role, content, parts in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
             if conv is nothing or conv_id != conv:
                 if conv is not nothing:
@@ -145,7 +192,7 @@ def _digest_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
     n = chars = total = 0
     whole, masked = hashlib.sha256(), hashlib.sha256()
-    for batch in batches:
+    for batch in portions(batches):
         out = []
         for conv_id, last, formatted, loss in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "last", "formatted", "loss")), strict=True):
             turns, texts = read_back(formatted, loss)
