@@ -7,27 +7,39 @@ DataFrame functions are used. The iteration works on the cell table; texts are n
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantor.llm.common import Scratch
+from cantor.llm.common import Scratch, fresh
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Target share of a value: its share of tokens to this power, scaled to a sum of 1.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 NONE = "\x00none"
+#: What speaks for a topic.
+TOPICS = {
+    "legal": r"(?i)\b(?:licen[sc]e|copyright|lizenz|licencia|droits|warranty)",
+    "contact": r"@",
+    "technical": r"[={}<>]",
+    "figures": r"[0-9]{3}",
+    "speech": r"[?!\"]",
+}
 #: Tokens that the weights are laid out for, as a share of the corpus's tokens: more of them keep more
 #: documents, and leave more cells too small for their share.
 BUDGET = 0.8
-#: Cells up to which the raking stays in one task, without exchanges.
+#: Cells up to which the raking stays in one task, without exchanges; beyond it, marginals are aggregated and joined.
 ONE_TASK_CELLS = 100_000
 ROUNDS, BATCH, TOLERANCE = 60, 6, 1e-6
 
 
 def topic_of(text: Column) -> Column:
-    """A coarse topic by fixed lexical cues."""
+    """A coarse topic by fixed lexical cues: that with most cues, of equals the first; without any, general."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    return F.when(F.lower(t).rlike("licen[sc]e|copyright"), "legal").when(F.contains(t, F.lit("@")), "contact").when(F.contains(t, F.lit("=")), "technical").otherwise("general")
+    counts = [F.struct(F.regexp_count(t, F.lit(form)).alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")) for i, (name, form) in enumerate(TOPICS.items())]
+    best = F.greatest(*counts)
+    return F.when(best["n"] > 0, best["name"]).otherwise("general")
 
 
 def token_count(text: Column) -> Column:
@@ -37,8 +49,8 @@ def token_count(text: Column) -> Column:
 def rake(cells: DataFrame, temper: dict[str, float] | None = None, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """Adds ``weight`` to cells (source, lang, topic, tokens, ...): raked token weights that sum to 1.
 
-    targets: given shares of a dimension's values; those it doesn't name, or dimensions left out, are
-    tempered. Cells without tokens have weight 0. Stops when every marginal is met to TOLERANCE, or after
+    targets: given shares of a dimension's values; those it doesn't name share the rest of 1, tempered, as
+    all do in dimensions left out; shares of more than 1 in all are scaled to it. Cells without tokens have weight 0. Stops when every marginal is met to TOLERANCE, or after
     ROUNDS rounds (targets that no weights can meet).
     """
     temper = TEMPER | (temper or {})
@@ -48,33 +60,44 @@ def rake(cells: DataFrame, temper: dict[str, float] | None = None, targets: dict
     whole = cells.count() <= ONE_TASK_CELLS
     if whole:
         cells = cells.coalesce(1)
+
+    def with_sums(cells: DataFrame, name: str, **sums: Column) -> DataFrame:
+        """Aggregates of the cells that share a value of a dimension; joined ones combine before they shuffle."""
+        if whole:
+            return cells.withColumns({k: v.over(Window.partitionBy(name)) for k, v in sums.items()})
+        return cells.join(scratch.save(cells.groupBy(name).agg(*[v.alias(k) for k, v in sums.items()]), f"sums-{uuid.uuid4().hex[:8]}"), name)
+
     for name in DIMENSIONS:
-        w = Window.partitionBy(name)
-        goal = F.pow(F.sum("tokens").over(w), F.lit(temper[name]))
-        given = (targets or {}).get(name)
-        if given:
-            named = F.create_map(*[F.lit(x) for kv in given.items() for x in (kv[0], float(kv[1]))])
-            goal = F.coalesce(F.try_element_at(named, F.col(name)), goal)
-        cells = cells.withColumn(f"_goal_{name}", F.when(F.sum("tokens").over(w) > 0, goal).otherwise(0.0)).withColumn(f"_n_{name}", F.count("*").over(w))
-        if not whole:
-            continue
-    totals = cells.agg(*[F.sum(F.col(f"_goal_{d}") / F.col(f"_n_{d}")).alias(d) for d in DIMENSIONS], F.sum("tokens").alias("tokens")).first()
-    goals = {d: F.col(f"_goal_{d}") / F.lit(totals[d] or 1.0) for d in DIMENSIONS}
+        cells = with_sums(cells, name, _tokens=F.sum("tokens"), **{f"_n_{name}": F.count("*")})
+        goal = F.pow("_tokens", F.lit(temper[name]))
+        given = (targets or {}).get(name) or {}
+        share = F.try_element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in (kv[0], float(kv[1]))]), F.col(name)) if given else F.lit(None).cast("double")
+        some = F.col("_tokens") > 0
+        cells = cells.withColumns({f"_given_{name}": F.when(some, share), f"_goal_{name}": F.when(some & share.isNull(), goal).otherwise(0.0)}).drop("_tokens")
+    if not whole:
+        cells = scratch.save(cells, "goals")
+    once = [F.sum(F.coalesce(f"_{what}_{d}", F.lit(0.0)) / F.col(f"_n_{d}")).alias(f"{what}_{d}") for d in DIMENSIONS for what in ("given", "goal")]
+    totals = cells.agg(*once, F.sum("tokens").alias("tokens")).first()
+    goals = {}
+    for d in DIMENSIONS:
+        given, rest = totals[f"given_{d}"] or 0.0, totals[f"goal_{d}"] or 0.0
+        left = max(0.0, 1 - given) / rest if rest else 0.0
+        goals[d] = F.coalesce(f"_given_{d}", F.col(f"_goal_{d}") * F.lit(left)) / F.lit(given + left * rest or 1.0)
     cells = cells.select(*[c for c in cells.columns if not c.startswith("_")], *[goals[d].alias(f"_goal_{d}") for d in DIMENSIONS])
     cells = cells.withColumn("weight", F.col("tokens") / F.lit(float(totals["tokens"] or 1)))
     done = 0
     while done < ROUNDS:
         for _ in range(BATCH):
             for name in DIMENSIONS:
-                now = F.sum("weight").over(Window.partitionBy(name))
-                cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(f"_goal_{name}") / now).otherwise(0.0))
+                cells = with_sums(cells, name, _now=F.sum("weight"))
+                cells = cells.withColumn("weight", F.when(F.col("_now") > 0, F.col("weight") * F.col(f"_goal_{name}") / F.col("_now")).otherwise(0.0)).drop("_now")
         done += BATCH
         cells = scratch.save(cells, f"round{done}")
         if whole:
             cells = cells.coalesce(1)
         gaps = cells
         for name in DIMENSIONS:
-            gaps = gaps.withColumn(f"_gap_{name}", F.abs(F.sum("weight").over(Window.partitionBy(name)) - F.col(f"_goal_{name}")))
+            gaps = with_sums(gaps, name, _now=F.sum("weight")).withColumn(f"_gap_{name}", F.abs(F.col("_now") - F.col(f"_goal_{name}"))).drop("_now")
         worst = gaps.agg(F.max(F.greatest(*[f"_gap_{d}" for d in DIMENSIONS])).alias("gap")).first()["gap"]
         if worst is None or worst <= TOLERANCE:
             break
@@ -88,7 +111,7 @@ def mix(docs: DataFrame, seed: int = 11, temper: dict[str, float] | None = None,
     tokens, and 1 at most. A cell with more tokens than its share is brought down to it in expectation, one
     with fewer is kept whole and falls short of its share; no document is repeated. A rare cell changes the
     rates of others by its share of the weights only. kept compares it with a hash of doc_id and seed, so it is the same
-    on every run and for repeated rows. Null sources, languages and topics are values of their own. Documents
+    on every run and for repeated rows; rows without a doc_id are told apart by their texts. Null sources, languages and topics are values of their own. Documents
     without tokens are in cells like any other; a cell that has no tokens at all keeps nothing.
     """
     topic = F.col("topic").cast("string") if "topic" in docs.columns else topic_of(F.col("text"))
@@ -98,9 +121,10 @@ def mix(docs: DataFrame, seed: int = 11, temper: dict[str, float] | None = None,
     cells = rows.select(*[k.alias(d) for d, k in keys.items()], "n_tokens").groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     raked = rake(cells, temper, targets).withColumn("_ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
     tokens = raked.agg(F.sum("tokens")).first()[0] or 0
-    odds = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.least(F.lit(1.0), F.col("_ratio") * F.lit(float(budget * tokens))).alias("probability"))
+    own = {d: fresh(rows, d) for d in DIMENSIONS}
+    odds = raked.select(*[F.col(d).alias(own[d]) for d in DIMENSIONS], F.least(F.lit(1.0), F.col("_ratio") * F.lit(float(budget * tokens))).alias("probability"))
     for d in DIMENSIONS:
-        rows = rows.withColumn(f"_{d}", keys[d])
-    rows = rows.join(odds, [f"_{d}" for d in DIMENSIONS], "left").drop(*[f"_{d}" for d in DIMENSIONS])
-    chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / F.lit(float(1 << 53))
+        rows = rows.withColumn(own[d], keys[d])
+    rows = rows.join(odds, list(own.values()), "left").drop(*own.values())
+    chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), F.lit(seed)), 11) / F.lit(float(1 << 53))
     return rows.withColumn("kept", chance < F.col("probability"))
