@@ -17,8 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of the sample that the classifier is fitted on: documents, and words that it weighs.
+from cantor.llm.common import Scratch, portions
+
+#: Bounds of the sample that the classifier is fitted on: documents, their characters, and words that it weighs.
 MAX_TRAIN_DOCS = 8000
+MAX_TRAIN_CHARS = 64_000_000
 MAX_TRAIN_WORDS = 400
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6, 7)
@@ -161,14 +164,25 @@ def train(texts: list[str], labels: list[int], max_words: int = MAX_TRAIN_WORDS,
     return NoisyOr({word: float(x) for word, x in zip(vocabulary, w, strict=True) if abs(x) > 0.1}, b)
 
 
-def train_on(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> NoisyOr:
-    """Fits on at most ``max_docs`` labelled documents, chosen by a hash of their id.
+def train_on(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_chars: int = MAX_TRAIN_CHARS) -> NoisyOr:
+    """Fits on labelled documents in the order of a hash of their id, ``max_docs`` and ``max_chars`` at most.
 
-    labels: doc_id, toxic. Rows without an id or label are left out; of several labels the highest counts.
+    labels: doc_id, toxic. Rows without an id or label are left out; of several labels or texts of one id the
+    highest counts. A document that would pass ``max_chars`` is left out whole.
     """
     chosen = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.coalesce(F.max("text"), F.lit("")).alias("text"), F.max("toxic").alias("toxic"))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = scratch.save(rows, "sample")
+    total, fitting = 0, []
+    for doc_id, chars in sample.select("doc_id", F.length("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if total + chars <= max_chars:
+            total += chars
+            fitting.append((doc_id,))
+    fitting = docs.sparkSession.createDataFrame(fitting, sample.select("doc_id").schema)
+    rows = sample.join(F.broadcast(fitting), "doc_id").select("doc_id", "text", "toxic").toArrow()
+    scratch.drop("")
     rows = sorted(zip(*(rows.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True), key=lambda r: (r[0], r[1] or ""))
     return train([r[1] or "" for r in rows], [int(r[2]) for r in rows])
 
@@ -181,7 +195,7 @@ def score_documents(docs: DataFrame, model: NoisyOr) -> DataFrame:
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [model.score(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int64()), pa.array([len(f[2]) for f in found], pa.int64()), pa.array([[{"start": a, "end": e, "p": p} for a, e, p in f[2]] for f in found], spans)],
