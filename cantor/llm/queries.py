@@ -53,7 +53,7 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.remove_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return cleaned.select("doc_id", "n_lines", "n_boilerplate", "n_removed", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_boilerplate", "n_removed", "mostly_boilerplate", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 _LINES = f"""
@@ -62,7 +62,8 @@ _LINES = f"""
                trim(u.line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line, u.line AS raw
         FROM (SELECT *, row_number() OVER () AS rid FROM {{docs}}) d,
              LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS line, generate_subscripts(string_split(d.text, chr(10)), 1) AS pos) u),
-    bad AS (SELECT line FROM lines WHERE length(line) >= {linededup.MIN_CHARS} GROUP BY line HAVING count(DISTINCT source) >= {linededup.MIN_SITES}),
+    bad AS (SELECT line FROM lines WHERE length(line) >= {linededup.MIN_CHARS} OR regexp_matches(line, '[ \t\x0b\x0c\r]') GROUP BY line
+            HAVING count(DISTINCT source) >= CASE WHEN length(line) >= {linededup.MIN_CHARS} THEN {linededup.MIN_SITES} ELSE {linededup.SHORT_SITES} END),
     cut AS (
         SELECT l.rid, any_value(l.doc_id) AS doc_id, any_value(l.text) AS text, any_value(l.n_lines) AS n_lines, count(b.line) AS n_bad,
                coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (WHERE b.line IS NULL), '') AS clean
@@ -70,15 +71,12 @@ _LINES = f"""
 """
 
 OP6_SQL = f"""
-WITH {_LINES.format(docs="documents")},
-    judged AS (SELECT *, length(clean) < {1 - linededup.MOST_LOST} * length(text) AS whole FROM cut)
-SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_bad AS BIGINT) AS n_boilerplate,
-       CAST(CASE WHEN whole THEN 0 ELSE n_bad END AS BIGINT) AS n_removed,
-       CAST(length(CASE WHEN whole THEN text ELSE clean END) AS BIGINT) AS kept_chars,
-       sha256(CASE WHEN whole THEN text ELSE clean END) AS kept_sha256
-FROM judged
+WITH {_LINES.format(docs="documents")}
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_bad AS BIGINT) AS n_boilerplate, CAST(n_bad AS BIGINT) AS n_removed,
+       length(clean) < {1 - linededup.MOST_LOST} * length(text) AS mostly_boilerplate, CAST(length(clean) AS BIGINT) AS kept_chars, sha256(clean) AS kept_sha256
+FROM cut
 UNION ALL
-SELECT doc_id, 0, 0, 0, 0, sha256('') FROM documents WHERE text IS NULL
+SELECT doc_id, 0, 0, 0, FALSE, 0, sha256('') FROM documents WHERE text IS NULL
 """
 
 
