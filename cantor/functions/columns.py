@@ -62,6 +62,67 @@ def word_differences(source: pd.Series, spoken: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(source, spoken, strict=True)])
 
 
+@arrow_udf("boolean")
+def same_words(found: pd.Series, expected: pd.Series) -> pd.Series:
+    """Whether two word lists agree but for case; a null list or word agrees with nothing."""
+
+    def one(a, b) -> bool:
+        return a is not None and b is not None and len(a) == len(b) and all(x is not None and y is not None and x.casefold() == y.casefold() for x, y in zip(a, b, strict=True))
+
+    return pd.Series([one(a, b) for a, b in zip(found, expected, strict=True)], dtype="boolean")
+
+
+def strings_problem(values: Column) -> Column:
+    """Why a list isn't one of different, non-empty strings, or null."""
+    return F.when(values.isNull() | (F.size(values) == 0) | F.exists(values, lambda x: F.coalesce(x == "", F.lit(True))), "INVALID").when(F.size(F.array_distinct(values)) != F.size(values), "DUPLICATE")
+
+
+@arrow_udf("boolean")
+def is_exception_key(key: pd.Series) -> pd.Series:
+    return key.map(lambda k: k is not None and latin.is_exception_key(k)).astype("boolean")
+
+
+OVERRIDES = "struct<error:string,overrides:array<struct<token_index:int,stress_index:int,ipa:string,phonemes:array<string>>>>"
+
+
+def parse_overrides(text: str, spoken: str) -> list[dict]:
+    """Overrides of a file that is bound to a spoken text by its digest; anything else in it is a ValueError."""
+    raw = json.loads(text)
+    if not isinstance(raw, dict) or set(raw) != {"spoken_text_sha256", "overrides"}:
+        raise ValueError("FIELDS_DIFFER")
+    if raw["spoken_text_sha256"] != hashlib.sha256(spoken.encode()).hexdigest():
+        raise ValueError("SPOKEN_TEXT_DIFFERS")
+    if not isinstance(raw["overrides"], dict):
+        raise ValueError("OVERRIDES_NO_OBJECT")
+    out = []
+    for key, value in raw["overrides"].items():
+        if not re.fullmatch("0|[1-9][0-9]*", key):
+            raise ValueError("INVALID_INDEX")
+        if not isinstance(value, dict) or set(value) != {"stress_index", "ipa", "model_phonemes"}:
+            raise ValueError("OVERRIDE_FIELDS_DIFFER")
+        stress, ipa, phonemes = value["stress_index"], value["ipa"], value["model_phonemes"]
+        if not (stress is None or type(stress) is int) or not (ipa is None or isinstance(ipa, str)):
+            raise ValueError("INVALID_VALUE")
+        if not (phonemes is None or isinstance(phonemes, list) and all(isinstance(x, str) for x in phonemes)):
+            raise ValueError("INVALID_VALUE")
+        out.append({"token_index": int(key), "stress_index": stress, "ipa": ipa, "phonemes": phonemes})
+    return sorted(out, key=lambda o: o["token_index"])
+
+
+@arrow_udf(OVERRIDES)
+def overrides(text: pd.Series, spoken: pd.Series) -> pd.DataFrame:
+    """Overrides by token from the JSON of an override file, or why it isn't one."""
+    rows = []
+    for t, s in zip(text, spoken, strict=True):
+        try:
+            rows.append((None, parse_overrides(t or "", s or "")))
+        except json.JSONDecodeError:
+            rows.append(("INVALID_JSON", None))
+        except ValueError as error:
+            rows.append((str(error), None))
+    return pd.DataFrame(rows, columns=["error", "overrides"])
+
+
 def canonical_json(row: object, ascii_only: bool = False) -> str:
     """Sorted keys, no blanks, no NaN: the text that digests are taken of."""
     return json.dumps(row, sort_keys=True, separators=(",", ":"), ensure_ascii=ascii_only, allow_nan=False)

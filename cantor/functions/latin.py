@@ -244,3 +244,10 @@ def alignment_form(text: str) -> str | None:
         letters = "".join(c for c in unicodedata.normalize("NFD", surface).casefold() if c.isalpha())
         words.append(letters.replace("æ", "ae").replace("œ", "oe").translate({ord("j"): "i", ord("v"): "u"}))
     return " ".join(words) if words and all(words) else None
+
+
+def is_exception_key(key: str) -> bool:
+    """Whether a word is in the form that exceptions are looked up by: levelled, without accents, letters only."""
+    parts = unicodedata.normalize("NFD", key)
+    levelled = key == key.casefold() and key == unicodedata.normalize("NFC", key) and not set("jv\u0301") & set(parts) and not set("æœ") & set(key)
+    return bool(key) and levelled and all(c.isalpha() or unicodedata.category(c).startswith("M") for c in key)

@@ -120,6 +120,22 @@ def resolution_problems(before: DataFrame, after: DataFrame, keys: list[str]) ->
     return both.filter((changed & ~F.coalesce("w0", F.lit(False))) | (F.coalesce("w1", F.lit(False)) & ~F.coalesce("w0", F.lit(False))))
 
 
+def resolution_steps(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, problem) of resolutions that aren't controlled: warnings must shrink, and none may be new.
+
+    Both tables: key, token_index, warning_codes (array of string). Warnings are counted with repetition.
+    Problems: TOKENS_DIFFER, NEW_WARNING, NOT_FEWER_WARNINGS.
+    """
+    b, a = (x.select(key, "token_index", F.col("warning_codes").alias(c)) for x, c in ((before, "b"), (after, "a")))
+    both = b.join(a, [key, "token_index"], "full")
+    there = both.groupBy(key).agg(F.bool_or(F.col("a").isNull() | F.col("b").isNull()).alias("differ"))
+    counts = both.select(key, "token_index", F.explode(F.concat(F.transform(F.coalesce("b", F.array()), lambda w: F.struct(w.alias("w"), F.lit(-1).alias("n"))), F.transform(F.coalesce("a", F.array()), lambda w: F.struct(w.alias("w"), F.lit(1).alias("n"))))).alias("x"))
+    moved = counts.groupBy(key, "token_index", "x.w").agg(F.sum("x.n").alias("n")).groupBy(key).agg((F.max("n") > 0).alias("grown"), (F.min("n") < 0).alias("shrunk"))
+    rows = there.join(moved, key, "left")
+    problem = F.when(F.col("differ"), "TOKENS_DIFFER").when(F.col("grown"), "NEW_WARNING").when(~F.coalesce("shrunk", F.lit(False)), "NOT_FEWER_WARNINGS")
+    return rows.select(key, problem.alias("problem")).filter("problem is not null")
+
+
 def approval(decision: Column, warnings: Column) -> Column:
     """Rejected before warnings are looked at; approved only without any."""
     return F.when(decision == "rejected", "rejected").when((decision == "approved") & (warnings > 0), "PRONUNCIATION_NEEDS_REVIEW").otherwise(decision)

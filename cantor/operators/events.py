@@ -67,7 +67,7 @@ def replay(automatic: DataFrame, events: DataFrame, keys: list[str]) -> DataFram
     """Final value of each (keys, field), and whether every event saw the value it said it saw.
 
     automatic: keys, field, value; events: keys, field, before, after, seq. Values are JSON tokens, so 1 and
-    1.0 differ. An event's before must equal the last after, or the automatic value: lag over the field's
+    1.0 differ. Where valid is false, value is what the last event says, which is not to be used. An event's before must equal the last after, or the automatic value: lag over the field's
     events, no fold in Python.
     """
     w = Window.partitionBy(*keys, "field").orderBy("seq")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from cantor.functions import backends
 from cantor.functions import columns as C
+from cantor.functions import identity
 from cantor.operators import corpus, events, intervals, pronunciation
+from cantor.sources import documents, files
 
 #: Tables that each stage reads and writes, relative to the corpus.
 TOUCHES = {
@@ -26,9 +28,11 @@ TOUCHES = {
 }
 
 
-def dry_run(spark: SparkSession, stage: str) -> DataFrame:
-    """(op, path) that a stage would touch, reads first."""
+def dry_run(spark: SparkSession, stage: str, ahead: bool = False) -> DataFrame:
+    """(op, path) that a stage would touch, reads first; where the journal is ahead, states are recovered before."""
     rows = [tuple(x.split()) for x in TOUCHES[stage].split("; ")]
+    if ahead and ("WRITE", "recordings") in rows:
+        rows += [("READ", "events"), ("RECOVER", "recordings")]
     return spark.createDataFrame(rows, "op string, path string").orderBy(F.when(F.col("op") == "READ", 0).when(F.col("op") == "RECOVER", 1).otherwise(2), "path")
 
 
@@ -61,14 +65,35 @@ def pair(speech: DataFrame, pauses: DataFrame, units: DataFrame, takes: Callable
 def review_bundle(takes: DataFrame) -> DataFrame:
     """(path, content) of the files that a person gets: automatic values and a decision template per take.
 
-    takes: recording_id, group_id, take_index, segment_start, segment_end.
+    takes: recording_id, group_id, take_index, segment_start, segment_end, and words (array of start, end,
+    text in seconds of the segment) if they are to be drawn. Audio isn't text: see ``operators/audio.py``.
     """
     folder = F.concat_ws("/", "recording_id", "group_id", F.col("take_index").cast("string"))
     automatic = F.to_json(F.struct("segment_start", "segment_end", F.lit("unreviewed").alias("review_decision")))
     entity = C.review_entity_id(F.col("recording_id"), F.col("group_id"), F.col("take_index"))
     template = F.to_json(F.struct(entity.alias("entity_id"), F.lit("unreviewed").alias("decision"), F.lit("").alias("reason"), F.lit("").alias("reviewer")))
-    files = F.array(F.struct(F.concat(folder, F.lit("/automatic.json")).alias("path"), automatic.alias("content")), F.struct(F.concat(folder, F.lit("/decision.json")).alias("path"), template.alias("content")))
-    return takes.select(F.explode(files).alias("f")).select("f.*")
+    page = F.concat(F.lit("<!doctype html><title>"), C.html_escape(entity), F.lit("</title><p>"), C.html_escape(F.format_string("%s to %s seconds", F.col("segment_start").cast("string"), F.col("segment_end").cast("string"))))
+    made = {"automatic.json": automatic, "decision.json": template, "index.html": page}
+    if "words" in takes.columns:
+        made["words.TextGrid"] = files.textgrid(F.col("segment_end") - F.col("segment_start"), F.col("words"))
+    return _exploded(takes, folder, made)
+
+
+def _exploded(rows: DataFrame, folder, made: dict) -> DataFrame:
+    listed = F.array(*[F.struct(F.concat(folder, F.lit(f"/{name}")).alias("path"), content.alias("content")) for name, content in made.items()])
+    return rows.select(F.explode(listed).alias("f")).select("f.*")
+
+
+def bundle_problems(exported: DataFrame, submitted: DataFrame) -> DataFrame:
+    """(path, problem) of a bundle that came back: MISSING and EXTRA files, REPEATED ones, and CHANGED automatic values.
+
+    Only decisions may differ from what was exported.
+    """
+    twice = corpus.duplicates(submitted, "path").select("path", F.lit("REPEATED").alias("problem"))
+    both = exported.select("path", F.col("content").alias("a")).join(submitted.select("path", F.col("content").alias("b")).distinct(), "path", "full")
+    fixed = ~F.endswith("path", F.lit("/decision.json"))
+    problem = F.when(F.col("b").isNull(), "MISSING").when(F.col("a").isNull(), "EXTRA").when(fixed & (F.col("a") != F.col("b")), "CHANGED")
+    return twice.unionByName(both.select("path", problem.alias("problem")).filter("problem is not null").distinct())
 
 
 def import_review(automatic: DataFrame, journal: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,6 +101,28 @@ def import_review(automatic: DataFrame, journal: DataFrame, target: DataFrame, k
     return events.target_events(events.replay(automatic, journal, keys).select(*keys, "field", "value"), target, keys)
 
 
+def align(takes: DataFrame, stored: DataFrame, aligner: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(alignments of the takes, problems): stored ones are used where their key is known, the others are made.
+
+    takes: group_id, take_index, corrections.EVIDENCE without the seal, and what ``aligner`` needs; stored and
+    what it returns: alignment_cache_key and integrity_sha256, and the result. Problems are those of coverage.
+    """
+    key = "alignment_cache_key"
+    found = corpus.materialize(takes, stored, aligner, key)
+    rows = takes.join(found, key)
+    wanted = takes.select("group_id", "take_index", "unit_id", "audio_sha256", key)
+    missing = wanted.join(found.select(key), key, "left_anti").select("group_id", "take_index", F.lit("MISSING_ALIGNMENT").alias("problem"))
+    broken = identity.broken_seals(found).select(key).join(wanted, key).select("group_id", "take_index", F.lit("SEAL_BROKEN").alias("problem"))
+    return rows, missing.unionByName(broken)
+
+
+def finish(recordings: DataFrame, takes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(recordings moved to APPROVED or REJECTED, recordings that stay reviewed because takes are undecided)."""
+    states = events.entity_state(takes)
+    moved = events.advance(recordings, states.filter("state is not null").withColumnRenamed("state", "target_state"))
+    return moved, states.filter("state is null")
+
+
 def build_manifest(takes: DataFrame, rights: DataFrame) -> DataFrame:
     """Approved segments in order; overlaps and missing rights fail the stage."""
     allowed = rights.filter("allow_local_processing and allow_model_training").select("rights_id")
@@ -85,6 +132,12 @@ def build_manifest(takes: DataFrame, rights: DataFrame) -> DataFrame:
     return segments.orderBy("recording_id", "group_id", "take_index")
 
 
+def require_evaluation_rights(recordings: DataFrame, rights: DataFrame) -> None:
+    """A report needs more than a manifest does: internal evaluation too."""
+    usable = rights.join(documents.unauthorized(rights, evaluation=True).select("rights_id"), "rights_id", "left_anti")
+    corpus.require(recordings.join(usable.select("rights_id"), "rights_id", "left_anti"), "rights to evaluate are missing")
+
+
 def report_markdown(metrics: DataFrame) -> DataFrame:
     """A report row as lines of a Markdown table (position, value)."""
     cells = F.array(*[F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("v")) for c in metrics.columns])

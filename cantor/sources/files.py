@@ -114,6 +114,17 @@ def format_textgrid(duration: float, tiers: dict[str, list[tuple[float, float, s
     return "\n".join(out) + "\n"
 
 
+@arrow_udf("string")
+def textgrid(duration: pd.Series, words: pd.Series) -> pd.Series:
+    """A TextGrid of one tier from intervals (start, end, text); rows of none are empty files of that length."""
+    return pd.Series([format_textgrid(float(d), {"words": [(w["start"], w["end"], w["text"]) for w in ([] if ws is None else ws)]}) for d, ws in zip(duration, words, strict=True)])
+
+
+def write_textgrids(rows: DataFrame, root: str) -> None:
+    """One file for each row (path, content) below ``root``; a task that runs again writes the same bytes."""
+    rows.select("content", "path").write.mode("errorifexists").partitionBy("path").option("lineSep", "").text(root)
+
+
 _FIELD = re.compile(r'(?:^|\n)[ \t]*(name|xmin|xmax|text|intervals: size|size|class) = ("(?:[^"]|"")*"|[^\n]*)')
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cantor.functions.columns import canonical_json
 from cantor.functions.udf import arrow_udf
+from cantor.operators import corpus, evidence
 
 
 def fault_of(line: str) -> str | None:
@@ -93,17 +94,46 @@ def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)
+
+
+def recover_state(spark: SparkSession, journal: str, root: str) -> str | None:
+    """After a stop between the two writes: a new snapshot with the journal's states, or None where all agree.
+
+    A state that the journal doesn't lead on from is an error: that is for a person to mend.
+    """
+    state = spark.read.json(current_snapshot(spark, root))
+    found = evidence.recovery(spark.read.parquet(journal), state)
+    corpus.require(found.filter("status = 'inconsistent'"), "state and journal disagree")
+    moved = found.filter("status = 'recover'").select("recording_id", F.col("journal_state").alias("_to"))
+    if not moved.take(1):
+        return None
+    rows = state.join(moved, "recording_id", "left").withColumn("state", F.coalesce("_to", "state")).select(state.columns)
+    return write_snapshot(rows, root, ["recording_id"])
+
+
+def publish_pair(spark: SparkSession, root: str, rows: DataFrame, markdown: list[str]) -> str:
+    """A report's JSON lines and its Markdown in one new directory under ``root``, named by one pointer written last.
+
+    A reader sees both files of one report or those of the one before, never one of each.
+    """
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    canonical_lines(rows).coalesce(1).write.mode("errorifexists").text(f"{path}/json")
+    spark.createDataFrame([("\n".join(markdown),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}/markdown")
+    spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/_current")
+    return path
+
+
 def persist_transition(events: DataFrame, state: DataFrame, journal: str, root: str) -> str:
     """The journal first, then the state: a journal ahead of the state can be recovered, the reverse is corruption.
 
-    Events that the journal holds already are not written again.
+    Events that the journal holds already are not written again. Of many recordings at once, as of one;
+    ``recover_state`` finishes what stopped in between.
     """
     spark = events.sparkSession
-    try:
-        known = spark.read.parquet(journal).select("event_id")
-        events = events.join(known, "event_id", "left_anti")
-    except Exception as error:  # the first write: there is no journal yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if path_exists(spark, journal):
+        events = events.join(spark.read.parquet(journal).select("event_id"), "event_id", "left_anti")
     append_events(events, journal)
     return write_snapshot(state, root, ["recording_id"])
