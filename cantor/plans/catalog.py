@@ -49,36 +49,43 @@ def token_counts_by_lang(spark, sf_dir):
     return words.groupBy("lang").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("n_surfaces"))
 
 
+#: A word in lower case, and its key: without acutes, j and v as i and u.
+_FOLDED = "replace(lower(s), 'ß', 'ss')"
+_KEY = "replace(replace(translate({0}, 'áéíóúý', 'aeiouy'), 'j', 'i'), 'v', 'u')"
+
+
 @query(f"""
-WITH w AS (SELECT lower(s) AS s, count(*) AS n FROM (SELECT unnest({_SURFACES.format('text')}) AS s FROM documents) WHERE regexp_full_match(s, '[A-Za-z]+') GROUP BY 1)
-SELECT replace(replace(s, 'j', 'i'), 'v', 'u') AS lookup_key, count(*) AS n_surfaces, CAST(sum(n) AS BIGINT) AS n_tokens FROM w GROUP BY 1""")
+WITH w AS (SELECT lower(s) AS s, count(*) AS n FROM (SELECT unnest({_SURFACES.format('text')}) AS s FROM documents) GROUP BY 1)
+SELECT {_KEY.format(_FOLDED)} AS lookup_key, count(*) AS n_surfaces, CAST(sum(n) AS BIGINT) AS n_tokens FROM w GROUP BY 1""")
 def lookup_variants(spark, sf_dir):
-    words = pronunciation.word_counts(table(spark, sf_dir, "documents")).filter(F.col("surface").rlike("^[A-Za-z]+$"))
+    words = pronunciation.word_counts(table(spark, sf_dir, "documents"))
     keys = words.select(C.lookup_keys("surface").alias("lookup_key"), F.lower("surface").alias("s"), "n_tokens")
     return keys.groupBy("lookup_key").agg(F.countDistinct("s").alias("n_surfaces"), F.sum("n_tokens").alias("n_tokens"))
 
 
 _VALUES = ", ".join(f"('{k}', {len(v[0])})" for k, v in latin.LEXICON.items())
 _ONSETS = ", ".join(f"'{x}'" for x in sorted(T.ONSETS))
-#: Independent of the kernel: vowel groups as capital letters (W glide, J consonantal i, D diphthong).
+#: Independent of the kernel: vowel groups as capital letters (W glide, J consonantal i, D diphthong; vowels with a
+#: diaeresis, which are in no diphthong and no glide, as capitals of their own).
 STRESS_SQL = f"""
 WITH lex(k, n) AS (VALUES {_VALUES}),
-w AS (SELECT lower(s) AS s, count(*) AS c FROM (SELECT unnest({_SURFACES.format('text')}) AS s FROM documents) WHERE regexp_full_match(s, '[A-Za-z]+') GROUP BY 1),
-a AS (SELECT s, c, replace(replace(s, 'j', 'i'), 'v', 'u') AS k, regexp_replace(regexp_replace(s, '(q|ng)u([aeiouy])', '\\1W\\2', 'g'), '(q|ng)u([aeiouy])', '\\1W\\2', 'g') AS g FROM w),
-b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(g, '(^|[aeiouyJ])i([aeiouyJ])', '\\1J\\2', 'g'), '(^|[aeiouyJ])i([aeiouyJ])', '\\1J\\2', 'g'), '(^|[aeiouyJ])i([aeiouyJ])', '\\1J\\2', 'g') AS j FROM a),
+t AS (SELECT s, count(*) AS c FROM (SELECT lower(unnest({_SURFACES.format('text')})) AS s FROM documents) GROUP BY 1),
+w AS (SELECT translate({_FOLDED}, 'áéíóúýàèìòùâêîôûäëïöüÿ', 'aeiouyaeiouaeiouAEIOUY') AS s, c, {_KEY.format(_FOLDED)} AS k, regexp_matches(s, '[áéíóúý]') AS marked FROM t),
+a AS (SELECT s, c, k, marked, regexp_replace(regexp_replace(s, '(q|ng)u([aeiouyAEIOUY])', '\\1W\\2', 'g'), '(q|ng)u([aeiouyAEIOUY])', '\\1W\\2', 'g') AS g FROM w),
+b AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(g, '(^|[aeiouyAEIOUYJ])i([aeiouyAEIOUYJ])', '\\1J\\2', 'g'), '(^|[aeiouyAEIOUYJ])i([aeiouyAEIOUYJ])', '\\1J\\2', 'g'), '(^|[aeiouyAEIOUYJ])i([aeiouyAEIOUYJ])', '\\1J\\2', 'g') AS j FROM a),
 d AS (SELECT *, regexp_replace(j, 'ae|oe|au|eu|ay', 'D', 'g') AS v FROM b),
-e AS (SELECT *, CASE WHEN s = 'hei' THEN 1 ELSE length(regexp_replace(v, '[^aeiouyD]', '', 'g')) END AS n,
-        regexp_extract(v, '([aeiouyD])([^aeiouyD]*)[aeiouyD][^aeiouyD]*$', 1) AS pen, regexp_replace(regexp_replace(regexp_extract(v, '([aeiouyD])([^aeiouyD]*)[aeiouyD][^aeiouyD]*$', 2), 'W', 'u', 'g'), 'J', 'i', 'g') AS cl FROM d),
+e AS (SELECT *, CASE WHEN s = 'hei' THEN 1 ELSE length(regexp_replace(v, '[^aeiouyAEIOUYD]', '', 'g')) END AS n,
+        regexp_extract(v, '([aeiouyAEIOUYD])([^aeiouyAEIOUYD]*)[aeiouyAEIOUYD][^aeiouyAEIOUYD]*$', 1) AS pen, regexp_replace(regexp_replace(regexp_extract(v, '([aeiouyAEIOUYD])([^aeiouyAEIOUYD]*)[aeiouyAEIOUYD][^aeiouyAEIOUYD]*$', 2), 'W', 'u', 'g'), 'J', 'i', 'g') AS cl FROM d),
 f AS (SELECT e.*, l.n AS ln, EXISTS (SELECT 1 FROM lex b WHERE e.k IN (b.k || 'que', b.k || 'ne', b.k || 've')) AS enc FROM e LEFT JOIN lex l USING (k)),
-r AS (SELECT *, CASE WHEN n = 0 THEN 'NO_VOWEL_NUCLEUS' WHEN ln IS NOT NULL AND ln <> n THEN 'LEXICON_SYLLABLE_MISMATCH' WHEN k NOT IN ('hei', 'mihi', 'nihil', 'nihildum') AND contains(s, 'w') THEN 'UNSUPPORTED_GRAPHEME' END AS err,
-        pen = 'D' OR regexp_matches(CASE WHEN right(cl, 2) IN ({_ONSETS}) THEN left(cl, length(cl) - 2) WHEN cl = '' THEN '' ELSE left(cl, length(cl) - 1) END, '[^aeiouy]$') AS heavy FROM f)
-SELECT CASE WHEN err IS NOT NULL THEN NULL WHEN k IN ('hei', 'mihi', 'nihil', 'nihildum') THEN 'exception' WHEN ln IS NOT NULL THEN 'lexicon' WHEN (enc AND n >= 2) OR n <= 2 OR heavy THEN 'rule' ELSE 'candidate' END AS method,
+r AS (SELECT *, CASE WHEN n = 0 THEN 'NO_VOWEL_NUCLEUS' WHEN NOT marked AND ln IS NOT NULL AND ln <> n THEN 'LEXICON_SYLLABLE_MISMATCH' WHEN k NOT IN ('hei', 'mihi', 'nihil', 'nihildum') AND contains(s, 'w') THEN 'UNSUPPORTED_GRAPHEME' END AS err,
+        pen = 'D' OR regexp_matches(CASE WHEN right(cl, 2) IN ({_ONSETS}) THEN left(cl, length(cl) - 2) WHEN cl = '' THEN '' ELSE left(cl, length(cl) - 1) END, '[^aeiouyAEIOUY]$') AS heavy FROM f)
+SELECT CASE WHEN err IS NOT NULL THEN NULL WHEN marked THEN 'override' WHEN k IN ('hei', 'mihi', 'nihil', 'nihildum') THEN 'exception' WHEN ln IS NOT NULL THEN 'lexicon' WHEN (enc AND n >= 2) OR n <= 2 OR heavy THEN 'rule' ELSE 'candidate' END AS method,
        err AS error_code, count(*) AS n_words, CAST(sum(c) AS BIGINT) AS n_tokens
 FROM r GROUP BY 1, 2"""
 
 
-def _plain_words(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.explode(C.surfaces(F.col("text"))).alias("s")).filter(F.col("s").rlike("^[A-Za-z]+$"))
+def _words(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.explode(C.surfaces(F.col("text"))).alias("s"))
     words = rows.groupBy(F.lower("s").alias("surface")).agg(F.count("*").alias("n_tokens"))
     return pronunciation.spread(words).select("n_tokens", C.pronounce("surface").alias("w")).select("n_tokens", "w.*")
 
@@ -86,7 +93,7 @@ def _plain_words(spark, sf_dir):
 @query(STRESS_SQL)
 def stress_method_hist(spark, sf_dir):
     """The flagship: words are made distinct before Python sees them."""
-    return _plain_words(spark, sf_dir).groupBy("method", "error_code").agg(F.count("*").alias("n_words"), F.sum("n_tokens").alias("n_tokens"))
+    return _words(spark, sf_dir).groupBy("method", "error_code").agg(F.count("*").alias("n_words"), F.sum("n_tokens").alias("n_tokens"))
 
 
 @query()
