@@ -18,14 +18,9 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Target share of a value: its share of tokens to this power, scaled to a sum of 1.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 NONE = "\x00none"
-#: What speaks for a topic.
-TOPICS = {
-    "legal": r"(?i)\b(?:licen[sc]e|copyright|lizenz|licencia|droits|warranty)",
-    "contact": r"@",
-    "technical": r"[={}<>]",
-    "figures": r"[0-9]{3}",
-    "speech": r"[?!\"]",
-}
+#: What speaks for a topic, words (in lower case) or characters.
+TOPIC_WORDS = {"legal": "licen[sc]e|copyright|lizenz|licencia|warranty"}
+TOPIC_CHARACTERS = {"contact": "@", "technical": "={}<>", "speech": "?!\""}
 #: Tokens that the weights are laid out for, as a share of the corpus's tokens: more of them keep more
 #: documents, and leave more cells too small for their share.
 BUDGET = 0.8
@@ -37,8 +32,9 @@ ROUNDS, BATCH, TOLERANCE = 60, 6, 1e-6
 def topic_of(text: Column) -> Column:
     """A coarse topic by fixed lexical cues: that with most cues, of equals the first; without any, general."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    counts = [F.struct(F.regexp_count(t, F.lit(form)).alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")) for i, (name, form) in enumerate(TOPICS.items())]
-    best = F.greatest(*counts)
+    found = {name: F.regexp_count(F.lower(t), F.lit(form)) for name, form in TOPIC_WORDS.items()}
+    found |= {name: F.length(t) - F.length(F.translate(t, characters, "")) for name, characters in TOPIC_CHARACTERS.items()}
+    best = F.greatest(*[F.struct(n.alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")) for i, (name, n) in enumerate(found.items())])
     return F.when(best["n"] > 0, best["name"]).otherwise("general")
 
 
