@@ -25,6 +25,8 @@ MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
 #: Bytes that a reader adds at first to find the end of a range's last header; it doubles them until it does.
 HEADER_BYTES = 1 << 16
+#: Tasks that ranges are dealt to at most; each then has several.
+MOST_TASKS = 50_000
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, path string, record_offset long, digest_ok boolean"
 
 
@@ -181,10 +183,12 @@ def read_warc(spark, path: str, range_bytes: int = 16 << 20) -> DataFrame:
         raise ValueError(f"{zipped[0].path} is gzipped; unpack it first")
     ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {range_bytes}"))).alias("chunk"))
     ranges = ranges.select("path", "chunk", (F.col("chunk") * range_bytes).alias("lo"), F.least("length", (F.col("chunk") + 1) * range_bytes).alias("hi"))
-    candidates = scratch.save(scan_candidates(ranges.repartition(F.col("path"), F.col("chunk"))), "candidates")
+    # ranges are dealt by number: adaptive execution would go by the bytes of their rows, not of what they stand for
+    tasks = max(1, min(ranges.count(), MOST_TASKS))
+    candidates = scratch.save(scan_candidates(ranges.repartition(tasks, "path", "chunk")), "candidates")
     entries = scratch.save(reachable_entries(candidates, scratch), "entries")
     ended = entries.select("path", F.col("exit").alias("length"))
     if broken := files.select("path", "length").join(ended, ["path", "length"], "left_anti").head(1):
         raise ValueError(f"the records of {broken[0].path} don't end at its length, {broken[0].length} bytes")
     entries = entries.drop("exit")
-    return candidates.join(entries, ["path", "chunk"]).groupBy("path", "chunk").applyInPandas(_read_range, RECORDS)
+    return candidates.join(entries, ["path", "chunk"]).repartition(tasks, "path", "chunk").groupBy("path", "chunk").applyInPandas(_read_range, RECORDS)
