@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pandas as pd
+
 from collections.abc import Callable
 from functools import cache
 
@@ -25,3 +27,10 @@ def arrow_udf(kind: str, deterministic: bool = True) -> Callable[[Callable], Cal
         return call
 
     return wrap
+
+
+def frame(rows: list[dict], schema: str) -> pd.DataFrame:
+    """Rows as a frame that Arrow takes for ``schema``: missing values are nulls, numbers stay whole, strings objects."""
+    kinds = dict(c.split(" ") for c in schema.split(", "))
+    whole = {"int": "Int32", "long": "Int64", "boolean": "boolean", "double": "Float64"}
+    return pd.DataFrame({name: pd.Series([r.get(name) for r in rows], dtype=whole.get(kind, object)) for name, kind in kinds.items()})

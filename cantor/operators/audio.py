@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantor.functions.udf import arrow_udf
+from cantor.functions.udf import arrow_udf, frame
 
 RATE = 16_000
 LAYOUT = "channels int, sample_width int, sample_rate int, frames long, compression string, error string"
@@ -71,8 +71,7 @@ def wav_layout(content: pd.Series) -> pd.DataFrame:
             rows.append(layout_of(data) | {"error": None})
         except (wave.Error, EOFError, TypeError) as error:
             rows.append({"error": str(error) or type(error).__name__})
-    names = [c.split()[0] for c in LAYOUT.split(", ")]
-    return pd.DataFrame(rows, columns=names).astype({"channels": "Int32", "sample_width": "Int32", "sample_rate": "Int32", "frames": "Int64"})
+    return frame(rows, LAYOUT)
 
 
 def analysis_problem(layout: Column, samples: Column) -> Column:
@@ -113,7 +112,7 @@ def probed_stream(said: str) -> dict:
 
 def probe_files(files: DataFrame, prober: Callable[[str], str]) -> DataFrame:
     """files (path) with PROBED: an external prober's JSON, path by path inside the tasks; what fails is an error column."""
-    names = [c.split()[0] for c in PROBED.split(", ")]
+    schema = f"path string, {PROBED}"
 
     def one(path: str) -> dict:
         try:
@@ -122,11 +121,10 @@ def probe_files(files: DataFrame, prober: Callable[[str], str]) -> DataFrame:
             return {"error": f"{type(error).__name__}: {error}"}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = pd.DataFrame([one(p) | {"path": p} for p in frame["path"]], columns=["path", *names])
-            yield out.astype({"sample_rate": "Int32", "channels": "Int32", "bit_rate": "Int64", "duration_ts": "Int64"})
+        for part in frames:
+            yield frame([one(p) | {"path": p} for p in part["path"]], schema)
 
-    return files.select("path").mapInPandas(run, f"path string, {PROBED}")
+    return files.select("path").mapInPandas(run, schema)
 
 
 def ffprobe(path: str) -> str:
@@ -151,13 +149,13 @@ def convert(wanted: DataFrame, converter: Callable[..., bytes]) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for key, mode, path, start, end in frame.itertuples(index=False):
+        for part in frames:
+            for key, mode, path, start, end in part.itertuples(index=False):
                 try:
                     content, error = converter(mode, path, *(None if x is None or x != x else x for x in (start, end))), None
                 except (OSError, ValueError, KeyError, subprocess.SubprocessError) as problem:
                     content, error = None, f"{type(problem).__name__}: {problem}"
-                yield pd.DataFrame({"cache_key": [key], "content": [content], "error": [error]})
+                yield frame([{"cache_key": key, "content": content, "error": error}], MADE)
 
     return wanted.select("cache_key", "mode", "path", "start_seconds", "end_seconds").mapInPandas(run, MADE)
 

@@ -61,7 +61,7 @@ def correction_bundle(outcomes: DataFrame, candidates: DataFrame) -> DataFrame:
     rows = review.join(saved, ["recording_id", "unit_id"], "left")
     entity = pairing_entity_id(F.col("recording_id"), F.col("unit_id"))
     content = F.to_json(F.struct(entity.alias("entity_id"), F.coalesce("candidates", F.array().cast("array<struct<split_sample:bigint,score:double>>")).alias("candidates"), F.lit(None).cast("long").alias("selected_split"), F.lit("").alias("reason"), F.lit("").alias("reviewer")), {"ignoreNullFields": "false"})
-    return rows.select(F.concat_ws("/", "recording_id", "pairing", F.concat("unit_id", F.lit(".json"))).alias("path"), content.alias("content"))
+    return rows.select(F.concat_ws("/", "recording_id", F.lit("pairing"), F.concat("unit_id", F.lit(".json"))).alias("path"), content.alias("content"))
 
 
 def selection_problems(outcomes: DataFrame, candidates: DataFrame, selections: DataFrame) -> DataFrame:

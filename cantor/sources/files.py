@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import io
-import json
 import re
-import subprocess
 import wave
 
 import numpy as np
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cantor.functions import columns as C
-from cantor.functions.udf import arrow_udf
+from cantor.functions.udf import arrow_udf, frame
 from cantor.operators.corpus import duplicates, require
 
 INTAKE = "relative_path string, title_or_citation string, speaker_id string, rights_id string, notes string"
@@ -79,18 +77,7 @@ def wav_measures(content: pd.Series) -> pd.DataFrame:
             rows.append(pcm_measures(data) | {"error": None})
         except (wave.Error, ValueError, EOFError) as error:
             rows.append({"error": str(error)})
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in MEASURES.split(", ")]).astype({"sample_rate": "Int32", "channels": "Int32", "samples": "Int64"})
-
-
-def probe(path: str, run=subprocess.run) -> dict:
-    """Duration, rate, channels, codec and bit rate of the first audio stream, by an external prober."""
-    said = run(["ffprobe", "-v", "error", "-print_format", "json", "-show_streams", "-show_format", path], capture_output=True, check=True)
-    found = json.loads(said.stdout)
-    stream = next((s for s in found.get("streams", []) if s.get("codec_type") == "audio"), None)
-    if stream is None:
-        raise ValueError("no audio stream")
-    rate = stream.get("bit_rate") or found.get("format", {}).get("bit_rate")
-    return {"duration_seconds": float(stream.get("duration") or found["format"]["duration"]), "sample_rate": int(stream["sample_rate"]), "channels": int(stream["channels"]), "codec": stream["codec_name"], "bit_rate": int(rate) if rate else None}
+    return frame(rows, MEASURES)
 
 
 def quoted(text: str) -> str:
