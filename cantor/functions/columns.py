@@ -249,7 +249,3 @@ def float_hex(x: Column) -> Column:
         return values.map(lambda v: None if v is None or v != v else float(v).hex())
 
     return one(x.cast("double"))
-
-
-def json_constants_are_standard(text: str) -> bool:
-    return not re.search(r"(?<![\w\"])(?:NaN|-?Infinity)(?![\w\"])", text)

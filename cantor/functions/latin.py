@@ -13,7 +13,7 @@ import unicodedata
 from cantor.functions import tables as T
 
 ACUTE, DIAERESIS = "́", "̈"
-LEXICON = T.lexicon()
+LEXICON = T.LEXICON
 
 
 class WordError(ValueError):
@@ -45,6 +45,11 @@ def lookup_key(normalized: str) -> str:
 
 def normalize_word(surface: str) -> tuple[str, str, int | None, list[str]]:
     """(normalised word, lookup key, base letters before the last acute's, transformation ids)."""
+    if surface.isascii():
+        plain = surface.lower()
+        key = plain.replace("j", "i").replace("v", "u")
+        steps = (("casefold", plain != surface), ("lookup-j-to-i", "j" in plain), ("lookup-v-to-u", "v" in plain))
+        return plain, key, None, [k for k, yes in steps if yes]
     composed = unicodedata.normalize("NFC", surface)
     folded = composed.casefold()
     spread = unicodedata.normalize("NFD", folded)
@@ -63,6 +68,8 @@ def normalize_word(surface: str) -> tuple[str, str, int | None, list[str]]:
 
 
 def _annotate(word: str, fold_consonants: bool) -> str:
+    if word.isascii():
+        return word
     out = []
     for c in word:
         parts = unicodedata.normalize("NFD", c)

@@ -4,22 +4,53 @@ from __future__ import annotations
 
 RULE_VERSION = "ecclesiastical-roman-v1"
 
-# Stress lexicon, as "key syllables stressed-syllable", by the sources of its rows.
-LEXICON_BY_SOURCES = {
-    ("perseus-lewis-short", "allen-greenough-accents"): """
-        dominus do-mi-nus 0; regina re-gi-na 1; maria ma-ri-a 1; gratia gra-ti-a 0; gloria glo-ri-a 0; caelum cae-lum 0;
-        benedictus be-ne-dic-tus 2; excelsis ex-cel-sis 1; anima a-ni-ma 0; animus a-ni-mus 0; spiritus spi-ri-tus 0;
-        oculus o-cu-lus 0; saeculum sae-cu-lum 0; discipulus dis-ci-pu-lus 1; angelus an-ge-lus 0; opera o-pe-ra 0;
-        familia fa-mi-li-a 1; femina fe-mi-na 0; formula for-mu-la 0; tabula ta-bu-la 0; epistula e-pis-tu-la 1;
-        caritas ca-ri-tas 0; ueritas ve-ri-tas 0; unitas u-ni-tas 0; uictima vic-ti-ma 0; maximus ma-xi-mus 0;
-        optimus op-ti-mus 0; humilitas hu-mi-li-tas 1""",
-    ("perseus-lewis-short", "liber-usualis-1962", "allen-greenough-accents"): """
-        alleluia al-le-lu-ia 2; magnificat ma-gni-fi-cat 1; misericordia mi-se-ri-cor-di-a 3""",
-    ("liber-usualis-1962",): "kyrie ky-ri-e 0",
-    ("liber-usualis-1961-full-scan",): """
-        eleison e-le-i-son 1; laudamus lau-da-mus 1; adoramus a-do-ra-mus 2; omnipotens om-ni-po-tens 1; peccata pec-ca-ta 1;
-        suscipe sus-ci-pe 0; mulieribus mu-li-e-ri-bus 2; peccatoribus pec-ca-to-ri-bus 2; sanctificetur sanc-ti-fi-ce-tur 3;
-        quotidianum quo-ti-di-a-num 3; spiritu spi-ri-tu 0; oremus o-re-mus 1; confiteor con-fi-te-or 1""",
+# Stress lexicon by lookup key: syllables, stressed syllable, sources.
+LEXICON = {
+    "dominus": (("do", "mi", "nus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "regina": (("re", "gi", "na"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "maria": (("ma", "ri", "a"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "gratia": (("gra", "ti", "a"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "gloria": (("glo", "ri", "a"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "kyrie": (("ky", "ri", "e"), 0, ("liber-usualis-1962",)),
+    "caelum": (("cae", "lum"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "alleluia": (("al", "le", "lu", "ia"), 2, ("perseus-lewis-short", "liber-usualis-1962", "allen-greenough-accents")),
+    "magnificat": (("ma", "gni", "fi", "cat"), 1, ("perseus-lewis-short", "liber-usualis-1962", "allen-greenough-accents")),
+    "misericordia": (("mi", "se", "ri", "cor", "di", "a"), 3, ("perseus-lewis-short", "liber-usualis-1962", "allen-greenough-accents")),
+    "benedictus": (("be", "ne", "dic", "tus"), 2, ("perseus-lewis-short", "allen-greenough-accents")),
+    "excelsis": (("ex", "cel", "sis"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "anima": (("a", "ni", "ma"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "animus": (("a", "ni", "mus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "spiritus": (("spi", "ri", "tus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "oculus": (("o", "cu", "lus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "saeculum": (("sae", "cu", "lum"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "discipulus": (("dis", "ci", "pu", "lus"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "angelus": (("an", "ge", "lus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "opera": (("o", "pe", "ra"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "familia": (("fa", "mi", "li", "a"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "femina": (("fe", "mi", "na"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "formula": (("for", "mu", "la"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "tabula": (("ta", "bu", "la"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "epistula": (("e", "pis", "tu", "la"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "caritas": (("ca", "ri", "tas"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "ueritas": (("ve", "ri", "tas"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "unitas": (("u", "ni", "tas"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "uictima": (("vic", "ti", "ma"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "maximus": (("ma", "xi", "mus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "optimus": (("op", "ti", "mus"), 0, ("perseus-lewis-short", "allen-greenough-accents")),
+    "humilitas": (("hu", "mi", "li", "tas"), 1, ("perseus-lewis-short", "allen-greenough-accents")),
+    "eleison": (("e", "le", "i", "son"), 1, ("liber-usualis-1961-full-scan",)),
+    "laudamus": (("lau", "da", "mus"), 1, ("liber-usualis-1961-full-scan",)),
+    "adoramus": (("a", "do", "ra", "mus"), 2, ("liber-usualis-1961-full-scan",)),
+    "omnipotens": (("om", "ni", "po", "tens"), 1, ("liber-usualis-1961-full-scan",)),
+    "peccata": (("pec", "ca", "ta"), 1, ("liber-usualis-1961-full-scan",)),
+    "suscipe": (("sus", "ci", "pe"), 0, ("liber-usualis-1961-full-scan",)),
+    "mulieribus": (("mu", "li", "e", "ri", "bus"), 2, ("liber-usualis-1961-full-scan",)),
+    "peccatoribus": (("pec", "ca", "to", "ri", "bus"), 2, ("liber-usualis-1961-full-scan",)),
+    "sanctificetur": (("sanc", "ti", "fi", "ce", "tur"), 3, ("liber-usualis-1961-full-scan",)),
+    "quotidianum": (("quo", "ti", "di", "a", "num"), 3, ("liber-usualis-1961-full-scan",)),
+    "spiritu": (("spi", "ri", "tu"), 0, ("liber-usualis-1961-full-scan",)),
+    "oremus": (("o", "re", "mus"), 1, ("liber-usualis-1961-full-scan",)),
+    "confiteor": (("con", "fi", "te", "or"), 1, ("liber-usualis-1961-full-scan",)),
 }
 STRESS_SOURCES = ("allen-greenough-accents",)
 ENCLITICS = ("que", "ne", "ve")
@@ -80,13 +111,3 @@ RULE_IDS = frozenset(r[0] for r in RULES) | frozenset(LETTER_RULES.values()) | {
 ONSETS = frozenset("bl br cl cr dr fl fr gl gr pl pr tr qu gu ch ph th gn".split())
 DIPHTHONGS = ("ae", "oe", "au", "eu", "ay")
 MACRONS = "āēīōūȳ"
-
-
-def lexicon() -> dict[str, tuple[tuple[str, ...], int, tuple[str, ...]]]:
-    """Syllables, stressed syllable and sources by lookup key."""
-    out = {}
-    for sources, rows in LEXICON_BY_SOURCES.items():
-        for row in rows.split(";"):
-            key, syllables, stress = row.split()
-            out[key] = (tuple(syllables.split("-")), int(stress), sources)
-    return out

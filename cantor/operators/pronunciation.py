@@ -63,7 +63,8 @@ def analyze(docs: DataFrame, key: str, text: str = "text", overrides: DataFrame
     plans = plain.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tokens"))
     plans = docs.select(key, F.col(text).alias("original_text"), C.phrase_form(F.col(text)).alias("normalized_text")).join(plans, key, "left")
     plans = plans.withColumn("tokens", F.coalesce("tokens", F.array().cast(plans.schema["tokens"].dataType)))
-    phrase = F.aggregate("tokens", F.array().cast("array<string>"), lambda a, t: F.concat(a, F.when(F.size(a) > 0, F.array(F.lit("|"))).otherwise(F.array().cast("array<string>")), F.coalesce(t["phonemes"], F.array().cast("array<string>"))))
+    spoken = F.filter(F.transform("tokens", lambda t: F.coalesce(t["phonemes"], F.array().cast("array<string>"))), lambda p: F.size(p) > 0)
+    phrase = F.flatten(F.transform(spoken, lambda p, i: F.when(i > 0, F.concat(F.array(F.lit("|")), p)).otherwise(p)))
     warned = F.transform(F.filter("tokens", lambda t: t["needs_review"]), lambda t: F.struct(F.lit("PRONUNCIATION_NEEDS_REVIEW").alias("code"), t["token_index"].alias("token_index"), t["start"].alias("start"), t["end"].alias("end")))
     plans = plans.select(key, F.lit("1").alias("schema_version"), F.lit(T.RULE_VERSION).alias("rule_version"), "original_text", "normalized_text", "tokens", phrase.alias("phrase_phonemes"), warned.alias("warnings"))
     plans = plans.withColumn("error_code", F.get(F.filter("tokens", lambda t: t["error_code"].isNotNull()), F.lit(0))["error_code"])

@@ -9,14 +9,30 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cantor.functions.columns import canonical_json
 from cantor.functions.udf import arrow_udf
 from cantor.operators import corpus, evidence
 
 
-def fault_of(line: str) -> str | None:
-    """Why a line is no strict JSON object, or None."""
+def _fits(value: object, kind: T.DataType) -> bool:
+    """Whether a JSON value is of a type itself; Spark's parser would also take numbers for strings and the reverse."""
+    if value is None:
+        return True
+    if isinstance(kind, T.StructType):
+        return isinstance(value, dict) and all(_fits(value.get(f.name), f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return isinstance(value, list) and all(_fits(x, kind.elementType) for x in value)
+    if isinstance(kind, T.BooleanType):
+        return isinstance(value, bool)
+    if isinstance(kind, T.IntegralType):
+        return type(value) is int
+    return type(value) in (int, float) if isinstance(kind, T.FractionalType) else isinstance(value, str)
+
+
+def fault_of(line: str, kind: T.StructType | None = None) -> str | None:
+    """Why a line is no strict JSON object (of a type, if there is one), or None."""
 
     def pairs(items: list) -> dict:
         if len({k for k, _ in items}) != len(items):
@@ -34,7 +50,13 @@ def fault_of(line: str) -> str | None:
         return "INVALID_JSON"
     except ValueError as error:
         return str(error)
-    return None if isinstance(row, dict) else "NOT_AN_OBJECT"
+    if not isinstance(row, dict):
+        return "NOT_AN_OBJECT"
+    if kind is None:
+        return None
+    if set(row) != set(kind.names):
+        return "FIELDS_DIFFER"
+    return None if _fits(row, kind) else "INVALID_ROW"
 
 
 @arrow_udf("string", deterministic=False)
@@ -52,11 +74,14 @@ def read_strict(spark: SparkSession, path: str, schema: str, exact: bool = True,
 
     With ``fail`` false, all lines come back with their fault in ``_fault``.
     """
-    names = [f.name for f in spark.createDataFrame([], schema).schema]
-    rows = read_lines(spark, path).withColumn("row", F.from_json("value", schema, {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false", "columnNameOfCorruptRecord": "_corrupt"}))
-    keys = F.array_sort(F.json_object_keys("value"))
-    other = ~keys.eqNullSafe(F.array(*[F.lit(n) for n in sorted(names)])) if exact else F.lit(False)
-    fault = F.coalesce("fault", F.when(other, "FIELDS_DIFFER"), F.when(F.col("row").isNull(), "INVALID_ROW"))
+    kind = T.StructType.fromDDL(schema)
+
+    @arrow_udf("string", deterministic=False)
+    def typed(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda x: fault_of(x, kind if exact else None))
+
+    rows = spark.read.text(path).withColumn("fault", typed("value")).withColumn("row", F.from_json("value", schema, {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false", "columnNameOfCorruptRecord": "_corrupt"}))
+    fault = F.coalesce("fault", F.when(F.col("row").isNull(), "INVALID_ROW"))
     if fail:
         checked = F.when(fault.isNull(), F.col("row")).otherwise(F.from_json(F.raise_error(F.concat(fault, F.lit(": "), F.substring("value", 1, 80))).cast("string"), schema))
         return rows.select(checked.alias("row")).select("row.*")

@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cantor.session import session
 
-    s = session("local[8]", 8, **{"spark.ui.showConsoleProgress": "false"})
+    shared = tmp_path_factory.mktemp("shared").as_uri()
+    s = session("local[8]", 8, **{"spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": shared})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cantor.operators import corpus
-from cantor.plans.evidence_catalog import ORACLES, QUERIES
+from cantor.plans.reader_catalog import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -40,7 +40,7 @@ def test_segment_and_pair(spark):
 def test_dry_run_and_bundle(spark):
     assert [tuple(r) for r in stages.dry_run(spark, "select-pilot").collect()] == [("READ", "recordings"), ("WRITE", "selection")]
     takes = spark.createDataFrame([("r", "g", 1, 0.0, 1.4)], "recording_id string, group_id string, take_index int, segment_start double, segment_end double")
-    assert sorted(r.path for r in stages.review_bundle(takes).collect()) == ["r/g/1/automatic.json", "r/g/1/decision.json"]
+    assert sorted(r.path for r in stages.review_bundle(takes).collect()) == ["r/g/1/automatic.json", "r/g/1/decision.json", "r/g/1/index.html"]
 
 
 def test_import_review_is_idempotent(spark):
