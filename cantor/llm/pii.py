@@ -36,8 +36,10 @@ CANDIDATE = rf"{PHONE}|{CARD}|(?<![A-Za-z0-9@._+-])(?=[A-Za-z._+-]*+[0-9@])[A-Za
 CONTEXT_CHARS, BEFORE, BEHIND = 64, 3, 2
 KIND = "ident"
 ROUNDS, MIN_CONFIDENCE, MIN_SUPPORT = 3, 0.5, 3
-#: Patterns of words need more.
-WORDS_CONFIDENCE, WORDS_SUPPORT = 0.8, 5
+#: Patterns of words need more, and their beliefs must make up a share of all occurrences of their rarest word: that
+#: identifiers follow "the" is no sign, that they follow "passport" is.
+WORDS_CONFIDENCE, WORDS_SUPPORT, WORDS_SHARE = 0.8, 5, 0.1
+WORD = r"\p{L}+"
 _SPAN = "array<struct<start:long,end:long,hit:string,before:string,behind:string>>"
 
 
@@ -137,18 +139,17 @@ def keyed_values(text: Column) -> Column:
 def word_contexts(text: Column) -> Column:
     """(patterns, value, start, end) of each candidate: the words before and behind it in its line.
 
-    Case and digits of the words are levelled, punctuation at their ends goes; a pattern has a letter.
+    Words are runs of letters, in lower case.
     """
 
     def words(x: Column) -> Column:
-        level = F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[0-9]+", "0")
-        return F.filter(F.transform(F.split(level, r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}0]+|[^\p{L}0]+$", "")), lambda w: w != "")
+        return F.regexp_extract_all(F.lower(F.coalesce(x, F.lit(""))), F.lit(WORD), F.lit(0))
 
     def one(s: Column) -> Column:
         left, right = words(F.regexp_extract(s["before"], r"[^\n]*$", 0)), words(F.regexp_extract(s["behind"], r"^[^\n]*", 0))
         before = [F.when(F.size(left) >= n, F.concat(F.lit("<"), F.array_join(F.slice(left, -n, n), " "))) for n in range(1, BEFORE + 1)]
         behind = [F.when(F.size(right) >= n, F.concat(F.lit(">"), F.array_join(F.slice(right, 1, n), " "))) for n in range(1, BEHIND + 1)]
-        patterns = F.filter(F.array(*before, *behind), lambda p: p.rlike(r"\p{L}"))
+        patterns = F.array_compact(F.array(*before, *behind))
         return F.struct(patterns.alias("patterns"), s["hit"].alias("value"), s["start"].alias("start"), s["end"].alias("end"))
 
     spans = F.transform(_spans(text, CANDIDATE, context=True), one)
@@ -171,6 +172,16 @@ def score_patterns(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS) ->
     raise ValueError("rounds must be at least 1")
 
 
+def striking_patterns(likely: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pattern) of the word patterns (pattern, support) whose rarest word seldom stands elsewhere in ``docs``."""
+    words = scratch.save(likely.select("pattern", "support", F.explode(F.split(F.substring("pattern", 2, 10_000), " ")).alias("word")), "words")
+    wanted = scratch.save(words.select("word").distinct(), "wanted")
+    spoken = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0))).alias("word"))
+    counts = spoken.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = words.join(counts, "word").groupBy("pattern").agg(F.first("support").alias("support"), F.min("n").alias("n"))
+    return scratch.save(rarest.filter(F.col("support") >= WORDS_SHARE * F.col("n")).select("pattern"), "striking")
+
+
 def find_private(docs: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, words_confidence: float = WORDS_CONFIDENCE) -> DataFrame:
     """doc_id, counts of base kinds, base_sha256, spans, and n_ident, for each row of ``docs`` (doc_id, text).
 
@@ -197,9 +208,10 @@ def find_private(docs: DataFrame, rounds: int = ROUNDS, min_confidence: float =
     values = values.withColumn("base", crosses).filter("value is not null").withColumn("seed", F.col("base") | F.col("value").rlike(SEED)).select("key", "value", "start", "end", "base", "seed", F.explode("patterns").alias("pattern"))
     edges = values.select("pattern", F.xxhash64(F.lower("value")).alias("value"), "seed").groupBy("pattern", "value").agg(F.bool_or("seed").alias("seed"))
     in_words = F.col("pattern").rlike("^[<>]")
-    patterns = score_patterns(edges, scratch, rounds).filter(
-        F.when(in_words, (F.col("confidence") >= words_confidence) & (F.col("support") >= WORDS_SUPPORT)).otherwise((F.col("confidence") >= min_confidence) & (F.col("support") >= MIN_SUPPORT))
-    )
+    scored = score_patterns(edges, scratch, rounds)
+    keys = scored.filter(~in_words & (F.col("confidence") >= min_confidence) & (F.col("support") >= MIN_SUPPORT)).select("pattern")
+    likely = scored.filter(in_words & (F.col("confidence") >= words_confidence) & (F.col("support") >= WORDS_SUPPORT))
+    patterns = keys.unionByName(striking_patterns(likely, docs, scratch))
     found = values.filter(~F.col("base") & F.col("value").rlike(IDENTIFIER)).join(patterns.select("pattern"), "pattern", "left_semi")
     found = found.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ident")).withColumnRenamed("key", "_key")
     rows = rows.join(found, F.col("key") == F.col("_key"), "left").withColumn("ident", F.coalesce("ident", F.array().cast("array<struct<start:long,end:long>>")))
