@@ -47,6 +47,19 @@ def advance(recordings: DataFrame, moves: DataFrame) -> DataFrame:
     return rows.withColumn("issue", issue).withColumn("state", F.when(moved, F.col("target_state")).otherwise(F.col("state"))).drop("target_state", "_ok")
 
 
+def transition(recordings: DataFrame, moves: DataFrame, config_sha256: str, tool_versions: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(recordings one state further, the events that say so) for moves (recording_id, target_state, input_sha256s).
+
+    A move whose step doesn't exist leaves its recording as it is, with an issue, and makes no event. Event ids
+    are of their content, so a stage that runs again proposes the same events.
+    """
+    moved = advance(recordings, moves)
+    steps = recordings.select("recording_id", F.col("state").alias("previous_state")).join(moved.filter("issue is null").select("recording_id", F.col("state").alias("target_state")), "recording_id")
+    done = steps.join(moves.select("recording_id", "target_state", "input_sha256s"), ["recording_id", "target_state"])
+    fixed = {"config_sha256": F.lit(config_sha256), "tool_versions": F.array(*map(F.lit, tool_versions)), "result": F.lit("success")}
+    return moved, event_id(done.withColumns(fixed))
+
+
 def event_existence(journal: DataFrame, events: DataFrame) -> DataFrame:
     """Each proposed event as new, exists (same id and semantics), or conflict (either alone)."""
     digest = F.xxhash64(*SEMANTICS)

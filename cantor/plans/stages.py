@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from cantor.functions import backends
 from cantor.functions import columns as C
 from cantor.functions import identity
-from cantor.operators import corpus, events, intervals, pronunciation
+from cantor.operators import corpus, corrections, events, intervals, pronunciation
 from cantor.sources import documents, files
 
 #: Tables that each stage reads and writes, relative to the corpus.
@@ -123,6 +125,42 @@ def finish(recordings: DataFrame, takes: DataFrame) -> tuple[DataFrame, DataFram
     return moved, states.filter("state is null")
 
 
+#: A reviewed take's fields, whose values are JSON.
+REVIEWED = {"review_decision": "string", "segment_start": "double", "segment_end": "double", "words": "array<struct<text:string,start_seconds:double,end_seconds:double>>"}
+
+
+def reviewed_takes(takes: DataFrame, automatic: DataFrame, journal: DataFrame) -> DataFrame:
+    """Takes with what their review leaves: decision, segment ends and words, by replay of the journal.
+
+    takes: recording_id, group_id, take_index, expected (its words), aligned (words as aligned), and what a
+    manifest needs; automatic: entity_id, field, value of REVIEWED; journal: those events. A replay that isn't
+    valid, an event of no take, and approved words that aren't the expected ones are errors.
+    """
+    named = takes.withColumn("entity_id", C.review_entity_id(F.col("recording_id"), F.col("group_id"), F.col("take_index")))
+    corpus.require(events.unknown_entities(journal, named.select("entity_id")), "review of an unknown take")
+    effective = events.replay(automatic, journal, ["entity_id"])
+    corpus.require(effective.filter("not valid"), "review doesn't follow on what it saw")
+    of = lambda field, kind: F.from_json(F.concat(F.lit('{"v":'), F.max(F.when(F.col("field") == field, F.col("value"))), F.lit("}")), f"v {kind}")["v"].alias(field)
+    values = effective.groupBy("entity_id").agg(*[of(field, kind) for field, kind in REVIEWED.items()])
+    rows = named.join(values, "entity_id").withColumnRenamed("review_decision", "decision").withColumn("reviewed", F.transform("words", lambda w: w["text"]))
+    corpus.require(corrections.stale_words(rows.filter("decision = 'approved'")).select("entity_id", "problem"), "words are stale")
+    fixed = F.transform("words", lambda w, i: F.struct(F.get("expected", i).alias("text"), w["start_seconds"].alias("start_seconds"), w["end_seconds"].alias("end_seconds")))
+    return rows.withColumn("word_spans", fixed).drop("reviewed", "words")
+
+
+def doctor() -> list[tuple[str, bool, str]]:
+    """(tool, whether it is there, version) of what the stages may call, on this machine."""
+    import pyarrow
+    import pyspark
+
+    out = [(m.__name__, True, m.__version__) for m in (pyspark, pyarrow)]
+    for tool in ("ffmpeg", "ffprobe"):
+        path = shutil.which(tool)
+        said = subprocess.run([path, "-version"], capture_output=True, text=True, check=False).stdout.partition("\n")[0] if path else ""
+        out.append((tool, path is not None, said))
+    return out
+
+
 def build_manifest(takes: DataFrame, rights: DataFrame) -> DataFrame:
     """Approved segments in order; overlaps and missing rights fail the stage."""
     allowed = rights.filter("allow_local_processing and allow_model_training").select("rights_id")

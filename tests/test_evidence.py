@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cantor.functions import columns as C
 from cantor.functions import identity, latin
 from cantor.operators import audio, corrections, evidence
+from cantor.operators import events as journal
 from cantor.plans import stages
 from cantor.sources import documents, files, jsonl
 
@@ -269,3 +270,33 @@ def test_finish(spark):
     takes = spark.createDataFrame([("r0", "approved"), ("r0", "rejected"), ("r1", "rejected"), ("r2", "unreviewed")], "recording_id string, decision string")
     moved, open_ = stages.finish(recordings, takes)
     assert {r.recording_id: r.state for r in moved.collect()} == {"r0": "APPROVED", "r1": "REJECTED", "r2": "REVIEWED"} and [r.recording_id for r in open_.collect()] == ["r2"]
+
+
+def test_reviewed_takes_and_manifest(spark):
+    rows = [("r", "g", 1, ["Ave", "Maria"], ["ave", "maria"]), ("r", "g", 2, ["Ave", "Maria"], ["ave", "maria"])]
+    takes = spark.createDataFrame(rows, "recording_id string, group_id string, take_index int, expected array<string>, aligned array<string>")
+    takes = takes.withColumns({"rights_id": F.lit("x"), "sample_rate": F.lit(16000), "n_warnings": F.lit(0)})
+    words = json.dumps([{"text": "ave", "start_seconds": 0.1, "end_seconds": 0.2}, {"text": "MARIA", "start_seconds": 0.3, "end_seconds": 0.4}])
+    entity = [f"review:1:r:1:g:take:{i}" for i in (1, 2)]
+    auto = [(e, f, v) for e in entity for f, v in (("review_decision", '"unreviewed"'), ("segment_start", "0.0"), ("segment_end", "0.5"), ("words", words))]
+    automatic = spark.createDataFrame(auto, "entity_id string, field string, value string")
+    schema = "entity_id string, field string, before string, after string, seq int"
+    told = [(entity[0], "review_decision", '"unreviewed"', '"approved"', 1), (entity[0], "segment_end", "0.5", "0.45", 2), (entity[1], "review_decision", '"unreviewed"', '"rejected"', 1)]
+    found = stages.reviewed_takes(takes, automatic, spark.createDataFrame(told, schema))
+    rights = spark.createDataFrame([("x", True, True)], "rights_id string, allow_local_processing boolean, allow_model_training boolean")
+    segments = stages.build_manifest(found, rights).collect()
+    assert len(segments) == 1 and (segments[0].take_index, segments[0].source_end_sample) == (1, 7200)
+    assert [w.text for w in segments[0].word_spans] == ["Ave", "Maria"]
+    for bad in ([(entity[0], "segment_end", "0.6", "0.4", 1)], [("other", "segment_end", "0.5", "0.4", 1)], [(entity[0], "review_decision", '"unreviewed"', '"approved"', 1), (entity[0], "words", words, words.replace("MARIA", "mater"), 2)]):
+        with pytest.raises(ValueError):
+            stages.reviewed_takes(takes, automatic, spark.createDataFrame(bad, schema))
+
+
+def test_transition_and_doctor(spark):
+    recordings = spark.createDataFrame([("a", "SEGMENTED"), ("b", "PAIRED"), ("c", "SEGMENTED")], "recording_id string, state string")
+    moves = spark.createDataFrame([("a", "PAIRED", ["x"]), ("b", "APPROVED", ["x"])], "recording_id string, target_state string, input_sha256s array<string>")
+    moved, made = journal.transition(recordings, moves, "c", ["t"])
+    assert {(r.recording_id, r.state, r.issue) for r in moved.collect()} == {("a", "PAIRED", None), ("b", "PAIRED", "ILLEGAL_TRANSITION"), ("c", "SEGMENTED", None)}
+    body = {"recording_id": "a", "previous_state": "SEGMENTED", "target_state": "PAIRED", "input_sha256s": ["x"], "config_sha256": "c", "tool_versions": ["t"], "result": "success"}
+    assert [r.event_id for r in made.collect()] == ["state-" + hashlib.sha256(json.dumps(body, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16]]
+    assert {"pyspark", "pyarrow", "ffmpeg", "ffprobe"} == {x[0] for x in stages.doctor()}
