@@ -6,13 +6,16 @@ import difflib
 import hashlib
 import json
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantor.functions import latin
-from cantor.functions.udf import arrow_udf
+from cantor.functions.udf import arrow_udf, portions
 
 WORD = (
     "surface string, normalized string, lookup_key string, transforms array<string>, syllables array<string>, stress_index int, ipa string, phonemes array<string>, "
@@ -36,6 +39,46 @@ def pronounce(surface: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([latin.analyze_word(s) for s in surface], columns=[c.split()[0] for c in WORD.split(", ")]).astype({"stress_index": "Int32", "needs_review": "boolean"})
 
 
+#: Tokens of a plan, and overrides of some of them.
+_TOKEN = [f for f in WORD.split(", ") if not f.startswith("surface ")]
+_FIELDS = [f.replace(" ", ":", 1) for f in ("token_index int", "surface string", "start int", "end int", *_TOKEN)]
+TOKENS = f"array<struct<{','.join(_FIELDS)}>>"
+FIXES = "array<struct<token_index:int,stress_index:int,ipa:string,phonemes:array<string>>>"
+#: Words that a worker remembers.
+KNOWN_WORDS = 200_000
+
+
+@lru_cache(KNOWN_WORDS)
+def _known(word: str) -> dict:
+    return latin.analyze_word(word)
+
+
+def plan_tokens(docs: DataFrame) -> DataFrame:
+    """docs (key, text, fixes) with tokens and unknown: all that is known of each word, and whether a fix names no token.
+
+    fixes: overrides (FIXES) or null. Texts come in portions, so few tokens are held at once.
+    """
+    kinds = {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+    token = pa.list_(pa.struct([(name, kinds[kind]) for name, kind in (f.split(":", 1) for f in _FIELDS)]))
+    key, text, _ = docs.columns
+
+    def plan(text: str | None, listed: list[dict] | None) -> tuple[list[dict], bool]:
+        own = {f["token_index"]: {k: f[k] for k in ("stress_index", "ipa", "phonemes")} for f in listed or []}
+        rows = []
+        for i, (word, start, end) in enumerate(latin.tokenize(text or "")):
+            rows.append({**(latin.analyze_word(word, own[i]) if i in own else _known(word)), "token_index": i, "start": start, "end": end})
+        return rows, any(not 0 <= i < len(rows) for i in own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches):
+            plans = [plan(t, listed) for t, listed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns = [batch.column(0), batch.column(1), pa.array([p[0] for p in plans], token), pa.array([p[1] for p in plans], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, text, "tokens", "unknown"])
+
+    kind = docs.schema[0].dataType.simpleString()
+    return docs.mapInArrow(run, f"`{key}` {kind}, `{text}` string, tokens {TOKENS}, unknown boolean")
+
+
 @arrow_udf("string")
 def lookup_keys(surface: pd.Series) -> pd.Series:
     return surface.map(lambda s: None if s is None else latin.normalize_word(s)[1])

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +29,14 @@ def arrow_udf(kind: str, deterministic: bool = True) -> Callable[[Callable], Cal
     return wrap
 
 
+def portions(batches: Iterator[pa.RecordBatch], most: int = 256 << 10) -> Iterator[pa.RecordBatch]:
+    """The batches cut into portions of about ``most`` bytes: long texts come one by one, short ones together."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for lo in range(0, batch.num_rows, step):
+            yield batch.slice(lo, step)
+
+
 def frame(rows: list[dict], schema: str) -> pd.DataFrame:
     """Rows as a frame that Arrow takes for ``schema``: missing values are nulls, numbers stay whole, strings objects."""
     kinds = dict(c.split(" ") for c in schema.split(", "))

@@ -48,41 +48,29 @@ def pronounced_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def analyze(docs: DataFrame, key: str, text: str = "text", overrides: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """Pronunciation plans: a row per document with its tokens, phrase phonemes and warnings.
 
+    A document's plan is made where its text is: workers remember words, and no token is ever shuffled.
+
     overrides: key, token_index, stress_index, ipa, phonemes. An index without a token is an error of the
     plan. ``strict`` fails the job at the first error instead of returning codes.
     """
-    words = tokens(docs, key, text, spans=True)
-    plain = words.join(pronounce_words(words), "surface", "left")
-    if overrides is not None:
-        o = overrides.select(F.col(key), "token_index", F.struct("stress_index", "ipa", "phonemes").alias("override"))
-        fixed = words.join(o, [key, "token_index"]).select(key, "token_index", _overridden("surface", "override").alias("w"))
-        plain = plain.join(fixed, [key, "token_index"], "left")
-        fields = [c.split()[0] for c in C.WORD.split(", ") if not c.startswith("surface")]
-        plain = plain.select(key, "token_index", "surface", "start", "end", *[F.when(F.col("w").isNotNull(), F.col(f"w.{c}")).otherwise(F.col(c)).alias(c) for c in fields])
-    fields = ["token_index", "surface", "start", "end", "normalized", "lookup_key", "syllables", "stress_index", "ipa", "phonemes", "method", "rule_ids", "transforms", "source_ids", "needs_review", "error_code", "error_detail"]
-    plans = plain.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tokens"))
-    plans = docs.select(key, F.col(text).alias("original_text"), C.phrase_form(F.col(text)).alias("normalized_text")).join(plans, key, "left")
-    plans = plans.withColumn("tokens", F.coalesce("tokens", F.array().cast(plans.schema["tokens"].dataType)))
+    plans = docs.select(key, F.col(text).alias("original_text"))
+    if overrides is None:
+        plans = plans.withColumn("fixes", F.lit(None).cast(C.FIXES))
+    else:
+        fixes = overrides.groupBy(key).agg(F.collect_list(F.struct("token_index", "stress_index", "ipa", "phonemes")).cast(C.FIXES).alias("fixes"))
+        plans = plans.join(fixes, key, "left")
+    plans = C.plan_tokens(plans).withColumnRenamed("unknown", "_unknown").withColumn("normalized_text", C.phrase_form(F.col("original_text")))
     spoken = F.filter(F.transform("tokens", lambda t: F.coalesce(t["phonemes"], F.array().cast("array<string>"))), lambda p: F.size(p) > 0)
     phrase = F.flatten(F.transform(spoken, lambda p, i: F.when(i > 0, F.concat(F.array(F.lit("|")), p)).otherwise(p)))
     warned = F.transform(F.filter("tokens", lambda t: t["needs_review"]), lambda t: F.struct(F.lit("PRONUNCIATION_NEEDS_REVIEW").alias("code"), t["token_index"].alias("token_index"), t["start"].alias("start"), t["end"].alias("end")))
-    plans = plans.select(key, F.lit("1").alias("schema_version"), F.lit(T.RULE_VERSION).alias("rule_version"), "original_text", "normalized_text", "tokens", phrase.alias("phrase_phonemes"), warned.alias("warnings"))
-    plans = plans.withColumn("error_code", F.get(F.filter("tokens", lambda t: t["error_code"].isNotNull()), F.lit(0))["error_code"])
-    if overrides is not None:
-        unknown = overrides.select(F.col(key), "token_index").join(words, [key, "token_index"], "left_anti").select(key).distinct().withColumn("_unknown", F.lit(True))
-        plans = plans.join(unknown, key, "left").withColumn("error_code", F.coalesce(F.when(F.col("_unknown"), "OVERRIDE_UNKNOWN_TOKEN"), "error_code")).drop("_unknown")
+    plans = plans.select(key, F.lit("1").alias("schema_version"), F.lit(T.RULE_VERSION).alias("rule_version"), "original_text", "normalized_text", "tokens", phrase.alias("phrase_phonemes"), warned.alias("warnings"), "_unknown")
+    first = F.get(F.filter("tokens", lambda t: t["error_code"].isNotNull()), F.lit(0))["error_code"]
+    plans = plans.withColumn("error_code", F.coalesce(F.when(F.col("_unknown"), "OVERRIDE_UNKNOWN_TOKEN"), first)).drop("_unknown")
     if strict:
         plans = plans.withColumn("error_code", F.when(F.col("error_code").isNull(), F.lit(None).cast("string")).otherwise(F.raise_error(F.col("error_code")).cast("string")))
     return plans
 
 
-@arrow_udf(C.WORD, deterministic=False)
-def _overridden(words: pd.Series, fixes: pd.DataFrame) -> pd.DataFrame:
-    clean = lambda v: None if v is None or (isinstance(v, float) and v != v) else v
-    rows = [latin.analyze_word(w, {"stress_index": None if clean(s) is None else int(s), "ipa": clean(i), "phonemes": None if p is None else list(p)}) for w, s, i, p in zip(words, fixes["stress_index"], fixes["ipa"], fixes["phonemes"], strict=True)]
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in C.WORD.split(", ")]).astype({"stress_index": "Int32", "needs_review": "boolean"})
-
-
 def seven_fields(plans: DataFrame, key: str) -> DataFrame:
     """The plan as it is stored: seven fields, tokens of ten, without rules, transforms and overrides."""
     kept = ("surface", "normalized", "start", "end", "syllables", "stress_index", "ipa", "phonemes", "method", "source_ids")
