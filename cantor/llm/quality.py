@@ -73,12 +73,12 @@ def base_stats(text: str) -> tuple[int, int, int, int, int]:
 
 def line_rule(line: str) -> str | None:
     """The first rule that a line with words fails, or None."""
-    words = line.split()
+    words = line.encode("utf-8", "surrogatepass").split()
     n, lower = len(words), line.lower()
     bars = sum(map(line.count, SEPARATORS))
     if bars >= 3 and 5 * bars >= n:
         return "navigation"
-    if n <= 2 and not line.rstrip(SPACES).endswith(TERMINAL) and not any(c.isdigit() for c in line):
+    if n <= 2 and not line.rstrip(SPACES).endswith(TERMINAL) and not any("0" <= c <= "9" for c in line):
         return "fragment"
     symbols = sum(map(line.count, SYMBOLS))
     if symbols >= 3 and 2 * symbols >= n:

@@ -128,6 +128,38 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM c GROUP BY conv_id
 """
 
+_TEXTS = ", ".join("'" + x.replace("'", "''") + "'" for x in quality.TERMINAL)
+_PHRASES = " OR ".join("contains(lower(line), '" + x.replace("'", "''") + "')" for x in quality.BOILERPLATE)
+_SPLIT = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP4_SQL = rf"""
+WITH
+    w AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {_SPLIT.format("coalesce(text, '')")} AS ws FROM documents),
+    g AS (SELECT rid, unnest(range(1, len(ws) - 3)) AS i, ws FROM w),
+    r AS (SELECT rid, i FROM (SELECT rid, i, array_to_string(ws[i : i + 4], ' ') AS gram FROM g) QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+    c AS (SELECT rid, count(DISTINCT i + k) AS n FROM r, range(5) x(k) GROUP BY rid),
+    l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM w),
+    k AS (SELECT rid, line, {_SPLIT.format("line")} AS ws, length(regexp_replace(line, '[^{quality.SEPARATORS}]', '', 'g')) AS bars, length(regexp_replace(line, '[^{quality.SYMBOLS}]', '', 'g')) AS symbols,
+                 length(regexp_replace(line, '[^!?]', '', 'g')) AS calls, right(rtrim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final
+          FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    j AS (SELECT rid, line, len(ws) AS n,
+                 CASE WHEN bars >= 3 AND 5 * bars >= len(ws) THEN 'navigation'
+                      WHEN len(ws) <= 2 AND final NOT IN ({_TEXTS}) AND NOT regexp_matches(line, '[0-9]') THEN 'fragment'
+                      WHEN symbols >= 3 AND 2 * symbols >= len(ws) THEN 'symbols'
+                      WHEN len(ws) >= 5 AND 2 * calls >= len(ws) THEN 'shouting'
+                      WHEN len(ws) >= 10 AND 3 * len(list_distinct(ws)) <= len(ws) THEN 'repetition'
+                      WHEN len(ws) <= {quality.BOILERPLATE_WORDS} AND ({_PHRASES}) THEN 'boilerplate' END AS rule FROM k),
+    a AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, count(rule) AS n_failed_lines, coalesce(sum(n) FILTER (WHERE rule IS NOT NULL), 0) AS lost,
+                 coalesce(string_agg(DISTINCT rule, ',' ORDER BY rule), '') AS failed_rules FROM j GROUP BY rid),
+    s AS (SELECT w.doc_id, len(ws) AS n, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^{quality.SYMBOLS}]', '', 'g')) AS n_symbols, coalesce(c.n, 0) AS rep,
+                 coalesce(a.n_dup_lines, 0) AS dup, coalesce(a.n_lines, 0) AS n_lines, coalesce(a.n_failed_lines, 0) AS failed, coalesce(a.lost, 0) AS lost, coalesce(a.failed_rules, '') AS failed_rules
+          FROM w LEFT JOIN c USING (rid) LEFT JOIN a USING (rid))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(dup AS BIGINT) AS n_dup_lines, CAST(rep AS BIGINT) AS n_repeat_words,
+       n < 10 OR 100 * rep > 20 * n AS base_failed, NOT (n < 10 OR 100 * rep > 20 * n) AND lost <= {quality.MOST_LOST} * n AND n - lost >= 5 AS kept,
+       CAST(n_lines AS BIGINT) AS n_lines, CAST(failed AS BIGINT) AS n_failed_lines, CAST(lost AS BIGINT) AS lost_words, failed_rules
+FROM s
+"""
+
 OP10_SQL = r"""
 WITH RECURSIVE
     w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
@@ -142,4 +174,4 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(t) AS c FROM r GROUP BY d) m ON m.d = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op6_line_dedup": OP6_SQL, "op10_ngram_jaccard": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op4_quality_rules": OP4_SQL, "op6_line_dedup": OP6_SQL, "op10_ngram_jaccard": OP10_SQL}
