@@ -281,3 +281,74 @@ def test_pipeline_on_awkward_documents(spark, awkward_dir, empty):
         assert docs.columns == names
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, awkward_dir)
     assert pieces.count() >= docs.count() and (not empty or not docs.count())
+
+
+def _private_by_hand(rows):
+    """Added spans by row, in plain Python: contexts, scores, striking patterns, identifiers."""
+    import math
+    import re
+
+    import regex
+
+    found, spoken = [], collections.Counter()
+    for d, text in rows:
+        text = text or ""
+        spoken.update(regex.findall(r"\p{L}+", text.lower()))
+        base = [s for spans in _base(text).values() for s in spans]
+        hits = list(re.finditer(pii.CANDIDATE, text)) if re.search("[0-9@]", text) else []
+        for i, m in enumerate(hits):
+            lo, hi = hits[i - 1].end() if i else 0, hits[i + 1].start() if i + 1 < len(hits) else len(text)
+            before = text[max(lo, m.start() - pii.CONTEXT_CHARS) : m.start()].rpartition("\n")[2]
+            behind = text[m.end() : min(hi, m.end() + pii.CONTEXT_CHARS)].partition("\n")[0]
+            left, right = (regex.findall(r"\p{L}+", x.lower()) for x in (before, behind))
+            patterns = ["<" + " ".join(left[-n:]) for n in range(1, pii.BEFORE + 1) if len(left) >= n] + [">" + " ".join(right[:n]) for n in range(1, pii.BEHIND + 1) if len(right) >= n]
+            found += [(d, text, p, m[0], m.span()) for p in patterns]
+        for m in re.finditer(pii.KEYED, text):
+            key = re.match(pii._KEY, m[0])[0]
+            value = re.sub(rf"^{pii._KEY}[ \t]*+[\"']?", "", m[0])
+            found.append((d, text, re.sub(r"[ \t]", "", key.lower()), value, (m.end() - len(value), m.end())))
+    cross = lambda text, span: any(a < span[1] and span[0] < b for spans in _base(text).values() for a, b in spans)
+    edges = collections.defaultdict(bool)
+    for _, text, p, value, span in found:
+        edges[(p, value.lower())] |= cross(text, span) or bool(re.match(pii.SEED, value))
+    belief = {e: float(seed) for e, seed in edges.items()}
+    for turn in range(1, pii.ROUNDS + 1):
+        by = collections.defaultdict(list)
+        for (p, _), b in belief.items():
+            by[p].append(b)
+        score = {p: (sum(b) / len(b), sum(b)) for p, b in by.items()}
+        if turn < pii.ROUNDS:
+            doubt = collections.defaultdict(float)
+            for p, v in edges:
+                doubt[v] += math.log(max(1 - (score[p][0] if score[p][1] >= pii.MIN_SUPPORT else 0.0), 1e-6))
+            belief = {(p, v): 1.0 if seed else 1 - math.exp(doubt[v]) for (p, v), seed in edges.items()}
+    good = set()
+    for p, (confidence, support) in score.items():
+        if p[0] in "<>":
+            rarest = min(spoken[w] for w in p[1:].split(" "))
+            if confidence >= pii.WORDS_CONFIDENCE and support >= pii.WORDS_SUPPORT and support >= pii.WORDS_SHARE * rarest:
+                good.add(p)
+        elif confidence >= pii.MIN_CONFIDENCE and support >= pii.MIN_SUPPORT:
+            good.add(p)
+    out = collections.defaultdict(set)
+    for d, text, p, value, span in found:
+        if p in good and not cross(text, span) and re.match(pii.IDENTIFIER, value):
+            out[(d, text)].add(span)
+    return {k: [f"ident:{a}:{b}" for a, b in sorted(v)] for k, v in out.items()}
+
+
+def test_pii_bootstrapping_equals_plain_python(spark, awkward_rows):
+    rng = np.random.default_rng(4)
+    words = ["passport", "number", "call", "at", "write", "to", "the", "of", "ticket", "Nr."]
+    values = ["me@x.org", "10.0.0.7", "+49 30 1234567", "QX-99-1234", "0123456789abcdef0123456789abcdef", "AB1234567", "77.88.99.zz", "v2beta9", "4111 1111 1111 1111"]
+    rows = [r for r in awkward_rows if r[0] is not None]
+    for i in range(160):
+        parts = []
+        for _ in range(int(rng.integers(1, 9))):
+            value = values[int(rng.integers(0, len(values)))]
+            value = value.replace("99", str(int(rng.integers(10, 99)))).replace("me", f"me{int(rng.integers(0, 60))}")
+            parts += [words[int(k)] for k in rng.integers(0, len(words), 3)] + [("id = " if rng.random() < 0.2 else "passport number " if rng.random() < 0.5 else "") + value, "\n" if rng.random() < 0.2 else "ok,"]
+        rows.append((1000 + i, " ".join(parts)))
+    want = _private_by_hand(rows)
+    got = {(r.doc_id, t): [s for s in (r.spans or "").split(",") if s.startswith("ident:")] for r, t in ((r, dict(rows)[r.doc_id] or "") for r in pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect())}
+    assert {k: v for k, v in got.items() if v} == want and len(want) > 20
