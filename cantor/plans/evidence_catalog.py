@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from cantor.functions import columns as C
 from cantor.functions import identity
 from cantor.operators import audio, corpus, corrections, evidence, intervals, report
-from cantor.operators import events as journal
 from cantor.plans.catalog import long, query, table
 from cantor.plans.corpus_catalog import ORACLES, QUERIES
 from cantor.sources import documents
@@ -387,13 +386,3 @@ def shifted_set_differences(spark, sf_dir):
     """Customers without every fifth against those without every seventh."""
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
     return corpus.set_differences(keys.filter("custkey % 5 <> 0"), keys.filter("custkey % 7 <> 0"), "custkey")
-
-
-@query()
-def journal_event_ids(spark, sf_dir):
-    """Processing event ids and review event ids of orders; their recipe is canonical JSON."""
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.concat(F.lit("rec-"), F.col("o_orderkey").cast("string")).alias("recording_id"), F.lit("SEGMENTED").alias("previous_state"), F.lit("PAIRED").alias("target_state"), F.array("o_orderstatus").alias("input_sha256s"),
-        F.lit("c").alias("config_sha256"), F.array(F.lit("t")).alias("tool_versions"), F.lit("success").alias("result"),
-    )
-    return journal.event_id(rows).select("o_orderkey", "event_id")

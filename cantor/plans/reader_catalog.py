@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from cantor.functions import columns as C
 from cantor.functions import tables as T
-from cantor.operators import corpus, pronunciation, report
+from cantor.operators import audio, corpus, pronunciation, report
 from cantor.operators import events as journal
 from cantor.plans import stages
-from cantor.plans.catalog import long, query, table
+from cantor.plans.catalog import _SURFACES, long, query, table
 from cantor.plans.evidence_catalog import _LINES, ORACLES, QUERIES, STAMP, _lines, _sha
 from cantor.sources import documents, files, jsonl
 from cantor.sources.scratch import shared_folder
@@ -237,3 +237,42 @@ def review_bundle_audit(spark, sf_dir):
     content = F.when(F.endswith("path", F.lit("/automatic.json")) & (order % 7 == 0), "{}").when(F.endswith("path", F.lit("/decision.json")), "decided").otherwise(F.col("content"))
     back = out.filter(~lost).select("path", content.alias("content")).unionByName(spark.createDataFrame([("extra", "x")], "path string, content string"))
     return stages.bundle_problems(out, back)
+
+
+def _little(x, digits: int):
+    """A whole number's little-endian bytes, as hex digits."""
+    text = F.lpad(F.hex(x), digits, "0")
+    return F.concat(*[F.substring(text, i, 2) for i in range(digits - 1, 0, -2)])
+
+
+@query("""
+SELECT p_partkey, 1 AS channels, 16000 AS sample_rate, CAST(p_size AS BIGINT) AS samples, round((p_partkey % 700) / 32768.0, 9) AS peak, round((p_partkey % 700) / 32768.0, 9) AS rms,
+  CASE WHEN p_partkey % 700 <= 327 THEN 1.0 ELSE 0.0 END AS silent_ratio, CASE WHEN p_size % 2 = 1 THEN 'SAMPLES' END AS problem FROM part WHERE p_size > 0""")
+def wav_checks(spark, sf_dir):
+    """Parts as 16 kHz mono WAV files of as many equal samples as their size; odd ones were asked for two more."""
+    n, level = F.col("p_size").cast("int"), (F.col("p_partkey") % 700).cast("int")
+    head = F.concat(F.lit("52494646"), _little(36 + 2 * n, 8), F.lit("57415645666D74201000000001000100803E0000007D00000200100064617461"), _little(2 * n, 8))
+    rows = table(spark, sf_dir, "part").filter("p_size > 0").select("p_partkey", n.alias("n"), F.unhex(F.concat(head, F.repeat(_little(level, 4), n))).alias("content"))
+    found = rows.select("p_partkey", "n", files.wav_measures("content").alias("m"), audio.wav_layout("content").alias("l"))
+    problem = audio.analysis_problem(F.col("l"), F.col("n") + F.when(F.col("n") % 2 == 1, 2).otherwise(0))
+    return found.select("p_partkey", "m.channels", "m.sample_rate", "m.samples", F.round("m.peak", 9).alias("peak"), F.round("m.rms", 9).alias("rms"), "m.silent_ratio", problem.alias("problem"))
+
+
+@query(f"""
+WITH t AS (SELECT conv_id, len({_SURFACES.format("text")}) AS n FROM conversations WHERE turn = 0 AND text IS NOT NULL)
+SELECT conv_id, n <= conv_id % 40 AS unknown FROM t""")
+def override_audit(spark, sf_dir):
+    """An override of one token of each conversation's first turn, which not every turn has."""
+    turns = table(spark, sf_dir, "conversations").filter("turn = 0 and text is not null")
+    fixes = turns.select("conv_id", (F.col("conv_id") % 40).cast("int").alias("token_index"), F.lit(None).cast("int").alias("stress_index"), F.lit("a").alias("ipa"), F.array(F.lit("a")).alias("phonemes"))
+    plans = pronunciation.analyze(turns, "conv_id", overrides=fixes)
+    return plans.select("conv_id", F.col("error_code").eqNullSafe("OVERRIDE_UNKNOWN_TOKEN").alias("unknown"))
+
+
+@query(f"SELECT doc_id, n AS n_tokens, n AS n_right FROM (SELECT doc_id, len({_SURFACES.format('text')}) AS n FROM documents WHERE text IS NOT NULL) WHERE n > 0")
+def token_offsets(spark, sf_dir):
+    """Tokens that stand in their document where they say they do."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").filter("text is not null")
+    spans = docs.select("doc_id", "text", C.word_spans("text").alias("spans")).filter(F.size("spans") > 0)
+    right = F.filter("spans", lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]) == s["surface"])
+    return spans.select("doc_id", long(F.size("spans")).alias("n_tokens"), long(F.size(right)).alias("n_right"))
