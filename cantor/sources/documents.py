@@ -6,17 +6,23 @@ import hashlib
 import json
 import os
 import posixpath
+import re
+from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cantor.functions import columns as C
 from cantor.functions import identity
+from cantor.functions.udf import frame
 from cantor.operators.corpus import STATES, duplicates, require
 from cantor.operators.events import review_event_id
 from cantor.sources.files import RECORDINGS, RIGHTS
 from cantor.sources.jsonl import canonical_lines, read_strict
 
+SNAPSHOT = "filename string, sha256 string, size_bytes long, content string"
 SELECTION = "schema_version string, strategy string, recording_ids array<string>, inventory_hashes array<string>"
 TRANSCRIPT_INTAKE = (
     "recording_id string, source_candidates array<struct<source_id:string,source_url:string,source_version:string,accessed_at:string,source_file:string,selected:boolean>>, spoken_units_file string, "
@@ -183,11 +189,29 @@ def weights_manifest(files: DataFrame) -> tuple[str, list[dict]]:
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
-    """(filename, sha256, size_bytes, content) of a model snapshot; content only of indexes."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.rstrip("/") + "/"
-    name = F.regexp_replace(F.regexp_replace("path", r"^file:/*", "/"), "^" + base.replace(".", r"\."), "")
-    return rows.select(name.alias("filename"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"), F.when(F.endswith(name, F.lit(".index.json")), F.decode("content", "UTF-8")).alias("content"))
+    """(filename, sha256, size_bytes, content) of a model snapshot; content only of indexes.
+
+    Files are hashed in blocks inside the tasks, so weights of any size do.
+    """
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    base = (root if ":" in root and not root.startswith("file:") else re.sub(r"^(file:)?/*", "/", root)).rstrip("/") + "/"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in frames:
+            out = []
+            for path, length in part.itertuples(index=False):
+                fs, name = pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+                with fs.open_input_stream(name) as f:
+                    digest, kept = hashlib.sha256(), []
+                    while block := f.read(1 << 20):
+                        digest.update(block)
+                        if path.endswith(".index.json"):
+                            kept.append(block)
+                short = re.sub(r"^file:/*", "/", path)
+                out.append({"filename": short.removeprefix(base), "sha256": digest.hexdigest(), "size_bytes": length, "content": b"".join(kept).decode("utf-8", "replace") if kept else None})
+            yield frame(out, SNAPSHOT)
+
+    return rows.mapInPandas(run, SNAPSHOT)
 
 
 def lines_digest(rows: DataFrame, order: list[str]) -> str:
