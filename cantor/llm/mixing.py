@@ -7,6 +7,7 @@ DataFrame functions are used. The iteration works on the cell table; texts are n
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +20,12 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 NONE = "\x00none"
 #: What speaks for a topic, words (in lower case) or characters.
-TOPIC_WORDS = {"legal": "licen[sc]e|copyright|lizenz|licencia|warranty"}
-TOPIC_CHARACTERS = {"contact": "@", "technical": "={}<>", "speech": "?!\""}
+TOPIC_CUES = {
+    "legal": ("licen", "copyright", "lizenz"),
+    "contact": ("@",),
+    "technical": ("=", "{", "<"),
+    "speech": ("?", "!"),
+}
 #: Tokens that the weights are laid out for, as a share of the corpus's tokens: more of them keep more
 #: documents, and leave more cells too small for their share.
 BUDGET = 0.8
@@ -32,10 +37,16 @@ ROUNDS, BATCH, TOLERANCE = 60, 6, 1e-6
 def topic_of(text: Column) -> Column:
     """A coarse topic by fixed lexical cues: that with most cues, of equals the first; without any, general."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    found = {name: F.regexp_count(F.lower(t), F.lit(form)) for name, form in TOPIC_WORDS.items()}
-    found |= {name: F.length(t) - F.length(F.translate(t, characters, "")) for name, characters in TOPIC_CHARACTERS.items()}
-    best = F.greatest(*[F.struct(n.alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")) for i, (name, n) in enumerate(found.items())])
-    return F.when(best["n"] > 0, best["name"]).otherwise("general")
+    level = F.lower(t)
+
+    def times(cue: str) -> Column:
+        """How often a cue of ASCII letters stands in the text: by how much it is shorter without them."""
+        x = level if cue.isalpha() else t
+        return ((F.octet_length(x) - F.octet_length(F.replace(x, F.lit(cue), F.lit("")))) / len(cue)).cast("int")
+
+    found = {name: functools.reduce(lambda a, b: a + b, map(times, cues)) for name, cues in TOPIC_CUES.items()}
+    ranked = [F.struct(n.alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")) for i, (name, n) in enumerate([("general", F.lit(0)), *found.items()])]
+    return F.greatest(*ranked)["name"]
 
 
 def token_count(text: Column) -> Column:
