@@ -247,7 +247,7 @@ def _little(x, digits: int):
 
 @query("""
 SELECT p_partkey, 1 AS channels, 16000 AS sample_rate, CAST(p_size AS BIGINT) AS samples, round((p_partkey % 700) / 32768.0, 9) AS peak, round((p_partkey % 700) / 32768.0, 9) AS rms,
-  CASE WHEN p_partkey % 700 <= 327 THEN 1.0 ELSE 0.0 END AS silent_ratio, CASE WHEN p_size % 2 = 1 THEN 'SAMPLES' END AS problem FROM part WHERE p_size > 0""")
+  CAST(CASE WHEN p_partkey % 700 <= 327 THEN 1 ELSE 0 END AS DOUBLE) AS silent_ratio, CASE WHEN p_size % 2 = 1 THEN 'SAMPLES' END AS problem FROM part WHERE p_size > 0""")
 def wav_checks(spark, sf_dir):
     """Parts as 16 kHz mono WAV files of as many equal samples as their size; odd ones were asked for two more."""
     n, level = F.col("p_size").cast("int"), (F.col("p_partkey") % 700).cast("int")
