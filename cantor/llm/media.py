@@ -147,6 +147,16 @@ class MediaArchiveReader(DataSourceReader):
         out = [Range(a, lo, min(size, lo + self.range_bytes)) for a, size in zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True) for lo in range(0, size, self.range_bytes)]
         return out or [Range("", 0, 0)]
 
+    @staticmethod
+    def _sliced(block: bytes, base: int, info: zipfile.ZipInfo) -> bytes | None:
+        """The member's payload from a block that begins at ``base``, if it is there unharmed."""
+        at = info.header_offset - base
+        if len(block) < at + 30:
+            return None
+        name, extra = struct.unpack_from("<HH", block, at + 26)
+        data = block[at + 30 + name + extra : at + 30 + name + extra + info.compress_size]
+        return data if len(data) == info.compress_size and zlib.crc32(data) == info.CRC else None
+
     def _member(self, fs, path: str, info: zipfile.ZipInfo, source) -> bytes:
         """The member's payload, from its own offset: skips the local header and checks the checksum."""
         last: Exception | None = None
@@ -173,13 +183,21 @@ class MediaArchiveReader(DataSourceReader):
         kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
         fs, path = open_uri(partition.archive)
         with fs.open_input_file(path) as source:
-            inside = [i for i in zipfile.ZipFile(source).infolist() if partition.lo <= i.header_offset < partition.hi]
+            archive = zipfile.ZipFile(source)
+            members = sorted(archive.infolist(), key=lambda i: i.header_offset)
+            inside = [i for i in members if partition.lo <= i.header_offset < partition.hi]
             rows: list[tuple] = []
-            held = 0
-            for info in sorted(inside, key=lambda i: i.header_offset):
+            held = base = 0
+            block = b""
+            if inside:
+                # one read for the whole range; what doesn't hold in it is read again by its offset
+                base = inside[0].header_offset
+                source.seek(base)
+                block = source.read(min([i.header_offset for i in members if i.header_offset > inside[-1].header_offset], default=archive.start_dir) - base)
+            for info in inside:
                 ident = info.filename.partition("-")[2].removesuffix(".png")
                 try:
-                    data, error = self._member(fs, path, info, source), None
+                    data, error = self._sliced(block, base, info) or self._member(fs, path, info, source), None
                 except ValueError as problem:
                     data, error = None, str(problem)
                 rows.append((partition.archive, info.filename, info.header_offset, None if ident == "null" else int(ident), data, error))
