@@ -8,6 +8,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import batched
 
 import pandas as pd
 import pyarrow as pa
@@ -22,6 +23,9 @@ WORD = (
     "method string, rule_ids array<string>, source_ids array<string>, needs_review boolean, error_code string, error_detail string"
 )
 SPANS = "array<struct<surface:string,start:int,end:int>>"
+_SPAN = [("surface", pa.string()), ("start", pa.int32()), ("end", pa.int32())]
+#: Words that are objects at once.
+_FEW = 1 << 14
 
 
 def surfaces(text: Column) -> Column:
@@ -29,9 +33,49 @@ def surfaces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\p{L}[\p{L}\p{M}]*"), F.lit(0))
 
 
-@arrow_udf(SPANS)
-def word_spans(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: [{"surface": s, "start": a, "end": b} for s, a, b in latin.tokenize(t or "")])
+def word_spans(docs: DataFrame) -> DataFrame:
+    """docs (key, text) with spans (SPANS): its words and where they stand, in code points; none in a null text.
+
+    Texts come in portions, and words become Arrow columns a few at a time, so few are held as objects.
+    """
+    names, kind = [*docs.columns, "spans"], pa.struct(_SPAN)
+
+    def columns(words: tuple) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array(part, field.type) for part, field in zip(zip(*words, strict=True), kind, strict=True)], fields=list(kind))
+
+    def flow(texts: list[str | None], ends: list[int]) -> Iterator[tuple[str, int, int]]:
+        for text in texts:
+            n = ends[-1]
+            for n, word in enumerate(latin.words(text or ""), n + 1):  # noqa: B007
+                yield word
+            ends.append(n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches):
+            ends = [0]
+            parts = [columns(words) for words in batched(flow(batch.column(1).to_pylist(), ends), _FEW)]
+            spans = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], kind), *parts]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, spans], names=names)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{kinds}, spans {SPANS}")
+
+
+def words_in_place(text: str, spans: str) -> Column:
+    """How many spans (SPANS) have the surface that stands at their place in the text.
+
+    Characters are as wide as each other in the bytes compared, so no place is counted from the text's start.
+    """
+    wide = F.length(text) != F.octet_length(text)
+    code = lambda s, wide: F.when(wide, F.encode(s, "UTF-32")).otherwise(s.cast("binary"))
+    # A list of one, so that lambdas get a text's bytes made once, not by each span
+    coded = F.array(F.struct(wide.alias("wide"), F.when(wide, 4).otherwise(1).alias("width"), code(F.col(text), wide).alias("bytes")))
+
+    def right(t: Column) -> Column:
+        at = lambda s: F.substring(t["bytes"], s["start"] * t["width"] + 1, (s["end"] - s["start"]) * t["width"])
+        return F.size(F.filter(spans, lambda s: at(s) == code(s["surface"], t["wide"])))
+
+    return F.transform(coded, right)[0]
 
 
 @arrow_udf(WORD, deterministic=False)

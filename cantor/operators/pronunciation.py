@@ -20,7 +20,7 @@ def tokens(docs: DataFrame, key: str, text: str = "text", spans: bool = False) -
     """A row per word: key, token_index, surface, and code-point start and end if ``spans``."""
     if not spans:
         return docs.select(F.col(key), F.posexplode(C.surfaces(F.col(text))).alias("token_index", "surface"))
-    rows = docs.select(F.col(key), F.posexplode(C.word_spans(F.col(text))).alias("token_index", "span"))
+    rows = C.word_spans(docs.select(F.col(key), F.col(text).alias("_text"))).select(key, F.posexplode("spans").alias("token_index", "span"))
     return rows.select(key, "token_index", "span.surface", "span.start", "span.end")
 
 

@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from cantor.functions import columns as C
 from cantor.functions import latin
 from cantor.functions import tables as T
 from cantor.operators import pronunciation
+from cantor.plans.reader_catalog import QUERIES
 
 SYLLABLES_IPA = """
 amor a-mor ˈa.mor; ager a-ger ˈa.d͡ʒer; locus lo-cus ˈlo.kus; novus no-vus ˈno.vus; sacrum sa-crum ˈsa.krum; patrem pa-trem ˈpa.trem;
@@ -142,3 +145,31 @@ def test_surfaces_agree_with_spans(spark, sf_dir):
     a = pronunciation.tokens(docs, "doc_id").collect()
     b = pronunciation.tokens(docs, "doc_id", spans=True).select("doc_id", "token_index", "surface").collect()
     assert sorted(a) == sorted(b) and a and not re.search(r"\d", a[0].surface)
+
+
+def test_offsets_of_many_words_fit_a_small_worker(spark, tmp_path, monkeypatch):
+    # A batch of 10,000 texts, 4 million words: with an object for each word they would take over 1 GB
+    n = 400
+    spark.range(0, 10_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("verbum "), n).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setitem(spark.sparkContext.environment, "PYSPARK_EXECUTOR_MEMORY_MB", "1500")
+    found = QUERIES["token_offsets"](spark, str(tmp_path)).groupBy("n_tokens", "n_right").count().collect()
+    assert list(map(tuple, found)) == [(n, n, 10_000)]
+
+
+@pytest.mark.parametrize("word", ["verbum ", "v\u00e9rbum "])
+def test_offsets_of_one_long_text_fit_a_small_worker(spark, tmp_path, monkeypatch, word):
+    # Half a million words, whose places can't each be counted from the text's start
+    n = 500_000
+    spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(word), n).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setitem(spark.sparkContext.environment, "PYSPARK_EXECUTOR_MEMORY_MB", "1500")
+    assert list(map(tuple, QUERIES["token_offsets"](spark, str(tmp_path)).collect())) == [(0, n, n)]
+
+
+def test_offsets_count_code_points(spark):
+    texts = ["a e\u0301\u0301b \U0001f600x\U0001d49cy \u03a9mega9z", None, "", "123 --", "plain text's end", "xxx\0\u00e9"]
+    spans = C.word_spans(spark.createDataFrame(list(enumerate(texts)), "id int, text string"))
+    rows = spans.select("id", "text", "spans", C.words_in_place("text", "spans").alias("n")).collect()
+    assert [[(w.surface, w.start, w.end) for w in r.spans] for r in sorted(rows)] == [latin.tokenize(t or "") for t in texts]
+    assert [r.n for r in sorted(rows)] == [5, 0, 0, 0, 4, 2]
+    moved = spans.withColumn("spans", F.transform("spans", lambda s: F.struct(s["surface"], s["start"] + 1, s["end"] + 1).cast("struct<surface:string,start:int,end:int>")))
+    assert {r.n for r in moved.select(C.words_in_place("text", "spans").alias("n")).collect()} == {0}
